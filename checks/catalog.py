@@ -30,7 +30,7 @@ LEAD_PRIOR = 0.001
 HISTORY_TRACKED = ("full_name", "date_of_birth", "nationality_code", "gender_code", "language_code")
 LARGE_BLOCK = 1
 # Steps that more than one branch of a single query reads.
-KEPT = ("primary_anchor", "core_links", "xref", "bridge")
+KEPT = ("anchored_links", "xref", "bridge", "candidates")
 
 
 class Case:
@@ -94,7 +94,7 @@ def _mint_key(c: Case) -> DataFrame:
 
 
 def _conflicts(c: Case) -> DataFrame:
-    return links.anchor_conflicts(c.run.primary)
+    return links.anchor_conflicts(links.primary_anchor(c.run.anchors))
 
 
 def _sf_links(c: Case) -> DataFrame:
@@ -110,7 +110,8 @@ def _rule_use(c: Case) -> DataFrame:
 
 
 def _ranked(c: Case) -> DataFrame:
-    return survivorship.survivorship_ranked(c.run.candidates).drop("is_verified")
+    candidates = c.run.keep("candidates", c.run.candidates)
+    return survivorship.survivorship_ranked(candidates).drop("is_verified")
 
 
 def _masked(roles: Sequence[str]) -> Callable[[Case], DataFrame]:
@@ -169,7 +170,7 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "primary_anchor": lambda c: links.primary_anchor(c.run.anchors),
     "anchor_conflicts": lambda c: _joined(_conflicts(c), "conflicting_cif_ids"),
     "corebanking_links": lambda c: links.corebanking_links(
-        c.run.primary, links.conflicted_anchors(c.run.primary), c.fx.fx_xref_prior),
+        links.primary_anchor(c.run.anchors), c.fx.fx_xref_prior),
     "mint_key": _mint_key,
     "salesforce_links": _sf_links,
     "app_user_links": lambda c: links.app_user_links(c.fx.fx_app_user, c.run.core_links),

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,30 +60,36 @@ def _keyed(people: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _large_blocks(leads: DataFrame, persons: DataFrame, leg: str, block_pairs: int) -> DataFrame:
-    """Keys a leg must not expand: too many pairs, or many rows on one side and nobody on the other.
+def _large_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int) -> list[Row]:
+    """Blocks a leg must not expand: too many pairs, or many rows on one side and nobody on the other.
 
-    At most ``skew.HOT_KEYS`` of them, largest first; any beyond are expanded in full like ordinary blocks. Counts
-    are exact and the order is total, so every evaluation names the same keys.
+    Runs one job, a combining count by key, and brings back ``skew.HOT_KEYS`` blocks at most, largest first. Any
+    beyond are expanded in full like ordinary ones.
     """
-    def sizes(side: DataFrame, name: str) -> DataFrame:
-        return side.filter(F.col(leg).isNotNull()).groupBy(F.col(leg).alias("block_key")).agg(
-            F.count(F.lit(1)).alias(name))
+    def keys(side: DataFrame, lead: int) -> DataFrame:
+        legs = ", ".join(f"struct('{leg}' AS block, `{leg}` AS block_key)" for leg in LEGS)
+        return side.selectExpr(f"inline(array({legs}))").withColumn("is_lead", F.lit(lead))
 
-    both = sizes(leads, "lead_count").join(sizes(persons, "person_count"), "block_key", "full_outer").fillna(0)
-    pairs = (F.col("lead_count") * F.col("person_count"))
-    rows = F.greatest("lead_count", "person_count")
+    counted = keys(leads, 1).unionByName(keys(persons, 0)).filter("block_key IS NOT NULL").groupBy(
+        "block", "block_key").agg(F.expr("sum(is_lead) AS lead_count"), F.expr("sum(1 - is_lead) AS person_count"))
     return (
-        both.withColumn("pair_count", pairs)
-        .filter((F.col("pair_count") > block_pairs) | ((F.col("pair_count") == 0) & (rows >= skew.HOT_ROWS)))
-        .orderBy(F.col("pair_count").desc(), rows.desc(), "block_key").limit(skew.HOT_KEYS)
+        counted.withColumn("pair_count", F.expr("lead_count * person_count"))
+        .filter(f"pair_count > {block_pairs} "
+                f"OR (pair_count = 0 AND greatest(lead_count, person_count) >= {skew.HOT_ROWS})")
+        .orderBy(F.expr("pair_count + lead_count + person_count").desc(), "block", "block_key")
+        .take(skew.HOT_KEYS)
     )
 
 
-def _without_large(side: DataFrame, large: dict[str, DataFrame]) -> DataFrame:
-    for leg, blocks in large.items():
-        named = F.broadcast(blocks.select(F.col("block_key").alias("_large")))
-        side = side.join(named, F.col(leg) == F.col("_large"), "left").withColumn(
+_BLOCK = "block string, block_key string, lead_count long, person_count long, pair_count long"
+
+
+def _without(side: DataFrame, large: Sequence[Row]) -> DataFrame:
+    """Keys of large blocks set to NULL, by a broadcast of at most ``skew.HOT_KEYS`` rows."""
+    blocks = side.sparkSession.createDataFrame(large, _BLOCK)
+    for leg in sorted({row["block"] for row in large}):
+        named = blocks.filter(F.col("block") == leg).select(F.col("block_key").alias("_large"))
+        side = side.join(F.broadcast(named), F.col(leg) == F.col("_large"), "left").withColumn(
             leg, F.when(F.col("_large").isNull(), F.col(leg))).drop("_large")
     return side
 
@@ -91,20 +97,20 @@ def _without_large(side: DataFrame, large: dict[str, DataFrame]) -> DataFrame:
 def lead_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Candidate pairs: same mobile, or same e-mail, or same birth date and surname sound.
 
-    One equi-join per leg. A pair is emitted by the first leg it agrees on, so no duplicates need removing. Blocks
-    beyond ``block_pairs`` are left to :func:`lead_block_members`; their pairs still appear here if they
-    agree on another leg.
+    One equi-join per leg, after a look at block sizes. A pair is emitted by the first leg it agrees on, so no
+    duplicates need removing. Blocks beyond ``block_pairs`` are left to :func:`lead_block_members`; their pairs
+    still appear here if they agree on another leg.
     """
     left, right = _keyed(leads, "lead"), _keyed(persons, "person")
-    large = {leg: _large_blocks(left, right, leg, block_pairs) for leg in LEGS}
-    left, right = _without_large(left, large), _without_large(right, large)
+    large = _large_blocks(left, right, block_pairs)
+    left, right = _without(left, large), _without(right, large)
     right = right.select("person_id", "person", *[F.col(leg).alias(f"person_{leg}") for leg in LEGS])
     pairs = None
     for place, leg in enumerate(LEGS):
         joined = left.filter(F.col(leg).isNotNull()).join(
             right.filter(F.col(f"person_{leg}").isNotNull()), F.col(leg) == F.col(f"person_{leg}"))
         for earlier in LEGS[:place]:
-            joined = joined.filter(~F.coalesce(F.col(earlier) == F.col(f"person_{earlier}"), F.lit(False)))
+            joined = joined.filter(f"NOT coalesce({earlier} = person_{earlier}, false)")
         found = joined.select("lead_id", "person_id", "lead", "person", F.lit(leg).alias("block"))
         pairs = found if pairs is None else pairs.unionByName(found)
     return pairs
@@ -113,15 +119,17 @@ def lead_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_P
 def lead_block_members(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Blocks too large to expand, as (block, member) rows: each lead of a block is a candidate for each person of it."""
     left, right = _keyed(leads, "lead"), _keyed(persons, "person")
-    members = None
-    for leg in LEGS:
-        blocks = F.broadcast(_large_blocks(left, right, leg, block_pairs).filter("pair_count > 0"))
-        for side, name in ((left, "lead"), (right, "person")):
-            found = side.join(blocks, F.col(leg) == F.col("block_key")).select(
-                F.lit(leg).alias("block"), "block_key", "lead_count", "person_count", "pair_count",
-                F.lit(name).alias("side"), F.col(f"{name}_id").alias("member_id"))
-            members = found if members is None else members.unionByName(found)
-    return members
+    large = [row for row in _large_blocks(left, right, block_pairs) if row["pair_count"]]
+    blocks = F.broadcast(left.sparkSession.createDataFrame(large, _BLOCK))
+
+    def members(side: DataFrame, name: str) -> DataFrame:
+        legs = ", ".join(f"struct('{leg}' AS block, `{leg}` AS block_key)" for leg in LEGS)
+        return (
+            side.selectExpr(f"{name}_id AS member_id", f"inline(array({legs}))").join(blocks, ["block", "block_key"])
+            .withColumn("side", F.lit(name))
+        )
+
+    return members(left, "lead").unionByName(members(right, "person"))
 
 
 def lead_compare(pairs: DataFrame) -> DataFrame:

@@ -45,28 +45,26 @@ def conflicted_anchors(primary: DataFrame) -> DataFrame:
     return primary.groupBy("anchor_token").agg(F.count(F.lit(1)).alias("cif_count")).filter("cif_count > 1")
 
 
-def anchor_conflicts(primary: DataFrame, conflicted: DataFrame | None = None) -> DataFrame:
+def anchor_conflicts(primary: DataFrame) -> DataFrame:
     """Conflicting CIFs per token, for the report.
 
     A token shared by more than ``REPORT_CIFS`` CIFs takes several rows, each CIF in exactly one of them, since a
     single array of them all would have no size bound; ``cif_count`` is the whole count in each.
     """
-    conflicted = conflicted_anchors(primary) if conflicted is None else conflicted
-    members = skew.lookup(primary.select("cif_id", "anchor_token"), conflicted, "anchor_token", "inner")
-    rows = F.ceil(F.col("cif_count") / REPORT_CIFS)
+    members = skew.lookup(primary.select("cif_id", "anchor_token"), conflicted_anchors(primary), "anchor_token", "inner")
     return (
-        members.withColumn("_row", F.pmod(F.xxhash64("cif_id"), rows))
+        members.withColumn("_row", F.expr(f"pmod(xxhash64(cif_id), ceil(cif_count / {REPORT_CIFS}))"))
         .groupBy("anchor_token", "_row")
         .agg(F.array_sort(F.collect_set("cif_id")).alias("conflicting_cif_ids"), F.max("cif_count").alias("cif_count"))
         .drop("_row")
     )
 
 
-def corebanking_links(primary: DataFrame, conflicted: DataFrame, xref: DataFrame) -> DataFrame:
-    """One link per CIF with an anchor: the key it already has, else a minted one."""
+def anchored_links(primary: DataFrame, xref: DataFrame) -> DataFrame:
+    """One link per CIF with an anchor, beside the anchor it rests on: the key it already has, else a minted one."""
     known = xref.filter((F.col("source_system") == COREBANKING) & F.col("current_record_indicator")).select(
         F.col("source_id").alias("cif_id"), F.col("customer_key").alias("known_key"))
-    flagged = skew.lookup(primary, conflicted.select("anchor_token", "cif_count"), "anchor_token")
+    flagged = skew.lookup(primary, conflicted_anchors(primary), "anchor_token")
     return flagged.join(known, "cif_id", "left").select(
         F.lit(COREBANKING).alias("source_system"),
         F.col("cif_id").alias("source_id"),
@@ -74,9 +72,14 @@ def corebanking_links(primary: DataFrame, conflicted: DataFrame, xref: DataFrame
         F.when(F.col("doc_type_code") == text.EMIRATES_ID, R1_EID).otherwise(R1_PASSPORT).alias("match_rule_code"),
         certain().alias("idr_confidence_score"),
         F.col("cif_count").isNotNull().alias("is_quarantined"),
+        "cif_id", "party_key", "doc_type_code", "anchor_token",
     )
 
 
+def corebanking_links(primary: DataFrame, xref: DataFrame) -> DataFrame:
+    return anchored_links(primary, xref).select(*LINK.names)
+
+
 def _core_keys(core_links: DataFrame) -> DataFrame:
     return core_links.select(F.col("source_id").alias("cif_id"), "customer_key", "is_quarantined")
 

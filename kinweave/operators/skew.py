@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A group with fewer rows than this is ordinary work for one task.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 # A hot group is ranked in at most about this many pieces.
 PIECES = 1_000
 # Size bound of tables of hot keys that are broadcast.
@@ -51,17 +51,22 @@ def _split_points(keyed: DataFrame) -> DataFrame:
     )
 
 
-def rank_in_group(df: DataFrame, group: Sequence[str], order: Column, rank: str) -> DataFrame:
-    """``row_number`` of every row within its group, ordered by ascending ``order``.
+def has_hot_group(df: DataFrame, group: Sequence[str]) -> bool:
+    """Whether any group has ``2 * HOT_ROWS`` rows or more. Runs a job: one combining count by group."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    return not sizes.filter(F.col("_size") >= 2 * HOT_ROWS).isEmpty()
 
-    A group of ordinary size is ranked in one window. A hot group is cut at sort-key values into pieces; a row's
-    rank is its place in its piece plus the rows of the pieces before it, so no task holds the whole group.
+
+def rank_in_pieces(df: DataFrame, group: Sequence[str], order: Column, rank: str) -> DataFrame:
+    """``row_number`` within a group by ascending ``order``, for data with hot groups.
+
+    A hot group is cut at sort-key values into pieces; a row's rank is its place in its piece plus the rows of the
+    pieces before it, so no task holds the whole group.
     """
     keyed = df.withColumn("_sort", order).withColumn("_group", F.to_json(F.struct(*group)))
-    cuts = _split_points(keyed)
     before_row = F.filter("_cuts", lambda cut: cut <= F.col("_sort"))
     pieces = (
-        lookup(keyed, cuts, "_group")
+        lookup(keyed, _split_points(keyed), "_group")
         .withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(before_row)))
         .drop("_cuts")
     )
@@ -77,6 +82,6 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Column, rank: str)
     )
     return (
         placed.join(offsets, (F.col("_group") == F.col("_g")) & (F.col("_piece") == F.col("_p")), "left")
-        .withColumn(rank, (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("int"))
+        .withColumn(rank, F.col("_place") + F.coalesce("_before", F.lit(0)))
         .drop("_sort", "_group", "_piece", "_place", "_g", "_p", "_before")
     )

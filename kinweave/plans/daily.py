@@ -17,6 +17,7 @@ from kinweave.functions.tokens import Tokenizer
 from kinweave.operators import (
     devices, exceptions, gold, golden, history, links, standardise, survivorship,
 )
+from kinweave.schemas import LINK
 from kinweave.sources.rules import DEFAULT_RULES, Rule
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -59,20 +60,21 @@ class DailyRun:
         return standardise.anchor_documents(self.inputs.party(), self.inputs.document(), self.tokenizer)
 
     @cached_property
-    def primary(self) -> DataFrame:
-        return self.keep("primary_anchor", links.primary_anchor(self.anchors))
+    def anchored_links(self) -> DataFrame:
+        primary = links.primary_anchor(self.anchors)
+        return self.keep("anchored_links", links.anchored_links(primary, self.inputs.xref()))
 
     @cached_property
-    def conflicted(self) -> DataFrame:
-        return links.conflicted_anchors(self.primary)
+    def core_links(self) -> DataFrame:
+        return self.anchored_links.select(*LINK.names)
 
     @cached_property
-    def conflicts(self) -> DataFrame:
-        return links.anchor_conflicts(self.primary, self.conflicted)
+    def primary(self) -> DataFrame:
+        return self.anchored_links.select("cif_id", "party_key", "doc_type_code", "anchor_token", "is_quarantined")
 
     @cached_property
-    def core_links(self) -> DataFrame:
-        return self.keep("core_links", links.corebanking_links(self.primary, self.conflicted, self.inputs.xref()))
+    def conflicts(self) -> DataFrame:
+        return links.anchor_conflicts(self.primary.filter("is_quarantined"))
 
     @cached_property
     def sf_links(self) -> DataFrame:
