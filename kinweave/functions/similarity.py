@@ -51,7 +51,6 @@ def _build():
         moved = ((a_seq[:, :width] != b_seq[:, :width]) & in_play).sum(axis=1) // 2
         with np.errstate(divide="ignore", invalid="ignore"):
             jaro = np.where(matches > 0, (matches / a_len + matches / b_len + (matches - moved) / matches) / 3.0, 0.0)
-        jaro = np.where((a_len == 0) & (b_len == 0), 1.0, jaro)
         head = min(4, a.shape[1], b.shape[1])
         same = (a[:, :head] == b[:, :head]) & (np.arange(head)[None, :] < np.minimum(a_len, b_len)[:, None])
         prefix = np.cumprod(same, axis=1).sum(axis=1)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 Tokenizer = Callable[[str, Column], Column]
 
@@ -41,7 +42,7 @@ def native_tokenizer(key: bytes, key_version: int = 1) -> Tokenizer:
 
 def arrow_tokenizer(key_provider: Callable[[], bytes], key_version: int = 1) -> Tokenizer:
     """Tokenizer that calls ``key_provider`` in the worker, once per batch of rows."""
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def digest(values: pd.Series) -> pd.Series:
         import hashlib as _hashlib
         import hmac as _hmac

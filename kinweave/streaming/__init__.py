@@ -1,0 +1 @@
+"""No streaming jobs: the run is a daily batch, and late events are taken in by re-reading the last days."""
