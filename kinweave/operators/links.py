@@ -29,14 +29,16 @@ def certain() -> Column:
 
 
 def primary_anchor(anchors: DataFrame, require_verified: bool = False) -> DataFrame:
-    """Best token per CIF: Emirates ID before passport, verified first, latest expiry, then lowest token."""
-    usable = anchors.filter(F.col("anchor_token").isNotNull())
-    if require_verified:
-        usable = usable.filter("is_verified")
-    best = F.expr(f"""min(struct(
+    """Best token per CIF: Emirates ID before passport, verified first, latest expiry, then lowest token.
+
+    Rows without a token drop out inside the aggregate. As a filter the test would be pushed below the join and
+    have every token computed twice.
+    """
+    usable = "anchor_token IS NOT NULL" + (" AND is_verified" if require_verified else "")
+    best = anchors.groupBy("cif_id").agg(F.expr(f"""min(CASE WHEN {usable} THEN struct(
         doc_type_code <> '{text.EMIRATES_ID}', {ordering.true_first("is_verified")},
-        {ordering.latest_date_first("expiry_date")}, anchor_token, party_key, doc_type_code))""")
-    return usable.groupBy("cif_id").agg(best.alias("best")).select(
+        {ordering.latest_date_first("expiry_date")}, anchor_token, party_key, doc_type_code) END) AS best"""))
+    return best.filter("best IS NOT NULL").select(
         "cif_id", "best.party_key", "best.doc_type_code", "best.anchor_token")
 
 
