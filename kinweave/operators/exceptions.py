@@ -84,18 +84,12 @@ def raise_exceptions(candidates: DataFrame, queue: DataFrame, run_date: dt.date)
     Attribute mismatches of one customer share type and source id, so for them the open check compares the detail.
     """
     queue = fill_columns(queue, EXCEPTION)
-    subject = F.when(
-        F.col("exception_type_code").isin(CONTACT_MISMATCH, KYC_MISMATCH), F.coalesce("detail", F.lit(""))
-    ).otherwise("").alias("subject")
-    same = ["exception_type_code", "source_system", "source_id", "subject"]
-    is_open = queue.filter(F.col("status_code") == OPEN).withColumn("subject", subject).select(*same)
-    raised_before = queue.filter(F.col("exception_key").isNotNull()).select("exception_key")
-    fresh = (
-        candidates.withColumn("subject", subject)
-        .withColumn("exception_key", keys.exception_key(F.col("identity"), run_date))
-        .join(is_open, same, "left_anti")
-        .join(raised_before, "exception_key", "left_anti")
-        .withColumn("detected_date", F.lit(run_date))
-        .withColumn("status_code", F.lit(OPEN))
-    )
-    return fill_columns(fresh, EXCEPTION)
+    subject = F.concat_ws(
+        "\u0001", "exception_type_code", "source_system", "source_id",
+        F.when(F.col("exception_type_code").isin(CONTACT_MISMATCH, KYC_MISMATCH), F.col("detail"))).alias("subject")
+    is_open = queue.filter(F.col("status_code") == OPEN).select(subject).distinct()
+    raised_before = queue.filter(F.col("exception_key").isNotNull()).select("exception_key").distinct()
+    keyed = candidates.select("*", subject, keys.exception_key(F.col("identity"), run_date).alias("exception_key"))
+    fresh = skew.lookup(skew.lookup(keyed, is_open, "subject", "left_anti"), raised_before, "exception_key", "left_anti")
+    return fill_columns(
+        fresh.withColumn("detected_date", F.lit(run_date)).withColumn("status_code", F.lit(OPEN)), EXCEPTION)

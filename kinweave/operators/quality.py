@@ -20,12 +20,12 @@ def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def dq_relationships(child: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys of ``child`` that ``parent`` lacks, with their row count. Children shrink to keys before the join."""
+    """Keys of ``child`` that ``parent`` lacks, with their row count. Both sides shrink to keys before the join."""
     complete = F.lit(True)
     for name in on:
         complete = complete & F.col(name).isNotNull()
     keys = child.filter(complete).groupBy(*on).agg(F.count(F.lit(1)).alias("row_count"))
-    return keys.join(parent.select(*on), list(on), "left_anti")
+    return keys.join(parent.select(*on).distinct(), list(on), "left_anti")
 
 
 def dq_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:

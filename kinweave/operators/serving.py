@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.operators import skew
+
 # Consent codes, the columns credit models may see, and those they must not.
 PERSONALISATION = "PERSONALISATION"
 GRANTED = "GRANTED"
@@ -33,10 +35,10 @@ def car_personalisation(
     live = consent.filter(
         (F.col("purpose_code") == purpose) & (F.col("status_code") == GRANTED) & F.col("current_record_indicator")
         & (F.col("expires_ts").isNull() | (F.col("expires_ts") > F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")))
-    ).select("customer_key")
+    ).select("customer_key").distinct()
     latest = mart.agg(F.max("snapshot_date")).scalar()
     today = mart.filter((F.col("snapshot_date") == latest) & ~F.col("idr_is_entity_conflict"))
-    return today.join(live, "customer_key", "left_semi")
+    return skew.lookup(today, live, "customer_key", "left_semi")
 
 
 def car_risk_features(mart: DataFrame) -> DataFrame:

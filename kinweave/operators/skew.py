@@ -18,7 +18,9 @@ SPREAD = 4_096
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:
-    """Adds the columns of ``right``, unique per string key ``on``, to ``left``; ``how``: left, inner, left_anti.
+    """Adds the columns of ``right``, unique per string key ``on``, to ``left``.
+
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``; the last two add no columns.
 
     Adaptive execution cuts the partition of a hot left key into pieces and joins them in parallel, but only if
     both sides come straight from a shuffle. A right side that was just aggregated by the same key does not: it would
@@ -31,8 +33,7 @@ def lookup(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> Dat
         nowhere = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)).cast("string"))
         asked = left.withColumn("_asked", F.coalesce(F.col(on), nowhere))
     else:
-        asked = left.filter(F.col(on).isNotNull()).withColumn("_asked", F.col(on)) if how == "inner" else (
-            left.withColumn("_asked", F.col(on)))
+        asked = left.withColumn("_asked", F.col(on))
     return asked.join(answers, F.col("_asked") == F.col("_key"), how).drop("_asked", "_key")
 
 

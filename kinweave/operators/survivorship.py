@@ -34,7 +34,7 @@ def clean_links(xref: DataFrame) -> DataFrame:
 def _linked(records: DataFrame, xref: DataFrame, system: str, attributes: Sequence[str]) -> DataFrame:
     links = clean_links(xref).filter(F.col("source_system") == system).select(
         F.col("source_id").alias("source_record_id"), "customer_key")
-    return records.join(links, "source_record_id").withColumn("source_system", F.lit(system)).select(
+    return skew.lookup(records, links, "source_record_id", "inner").withColumn("source_system", F.lit(system)).select(
         *_RECORD, *attributes)
 
 
@@ -125,8 +125,8 @@ def candidates_sf(account: DataFrame, xref: DataFrame) -> DataFrame:
 
 def candidates_contact(contact_norm: DataFrame, xref: DataFrame) -> DataFrame:
     """Contact points of customers that have a link out of quarantine."""
-    points = _contact_points(contact_norm).join(
-        clean_links(xref).select("customer_key"), "customer_key", "left_semi")
+    points = skew.lookup(
+        _contact_points(contact_norm), clean_links(xref).select("customer_key").distinct(), "customer_key", "left_semi")
     return points.select(
         "customer_key", "source_system", "source_record_id",
         F.concat(F.lit("primary_"), F.lower("_kind")).alias("attribute_name"),

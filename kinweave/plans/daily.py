@@ -153,3 +153,13 @@ class DailyRun:
     def gold(self) -> DataFrame:
         changed = gold.gold_changed_versions(self.dim_customer, self.run_date)
         return gold.gold_upsert(self.inputs.gold(), changed)
+
+
+def register_views(run: DailyRun, prefix: str = "idr_") -> list[str]:
+    """Temporary views of the run's steps, for those who ask in SQL."""
+    steps = (
+        "anchors", "contact_norm", "primary", "conflicts", "core_links", "sf_links", "app_links", "links_today", "xref",
+        "candidates", "survivor_rows", "lineage", "snapshot", "dim_customer", "bridge", "gold")
+    for step in steps:
+        getattr(run, step).createOrReplaceTempView(prefix + step)
+    return [prefix + step for step in steps]

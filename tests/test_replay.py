@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import TOKEN_KEY
 from kinweave.functions.tokens import native_tokenizer
 from kinweave.operators.quality import dq_unique
+from kinweave.plans.daily import register_views
 from kinweave.plans.warehouse import create_queue, golden_view, run_day
 from kinweave.schemas import EXCEPTION, GOLDEN, XREF
 from kinweave.sources.tables import read_table, run_path
@@ -74,11 +75,13 @@ def test_three_days_and_a_rerun(spark, case, warehouse):
     events = snapshot(read_table(spark, f"{root}/events"))
     queue = read_table(spark, f"{root}/queue", EXCEPTION)
     raised = queue.count()
-    run_day(spark, root, DAYS[2], DAYS[1], tokenizer)
+    again = run_day(spark, root, DAYS[2], DAYS[1], tokenizer)
     spark.catalog.refreshByPath(f"{root}/queue")
     assert {n: snapshot(table(spark, root, n, DAYS[2], s)) for n, s in names.items()} == kept
     assert snapshot(read_table(spark, f"{root}/events")) == events
     assert read_table(spark, f"{root}/queue", EXCEPTION).count() == raised > 0
+    views = register_views(again)
+    assert "idr_xref" in views and spark.sql("SELECT count(*) AS n FROM idr_xref").first()["n"] == len(kept["xref"])
     assert dq_unique(golden_view(spark, root, DAYS[2]), ["customer_key"]).isEmpty()
     stitched = read_table(spark, f"{root}/events").filter("is_stitched")
     assert stitched.count() > 0 and stitched.filter("customer_key IS NULL").isEmpty()
