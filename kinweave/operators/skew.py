@@ -29,7 +29,7 @@ def lookup(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> Dat
     """
     payload = [c for c in right.columns if c != on]
     answers = right.select(F.concat(F.col(on), F.lit("")).alias("_key"), *payload)
-    if how == "left":
+    if how in ("left", "left_anti"):
         nowhere = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)).cast("string"))
         asked = left.withColumn("_asked", F.coalesce(F.col(on), nowhere))
     else:
