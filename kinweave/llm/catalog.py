@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinweave.llm import token_counts as counts
+from kinweave.llm import decontaminate, token_counts, toxicity, url_filter, warc
+from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
+TOXIC_SCORE = 0.7
+ARCHIVE_DATE = "2024-01-01T00:00:00Z"
+
+#: Fixed values.
+URL_RULES = (
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+)
 
 
 def tokenizer_path(name: str) -> str:
@@ -17,15 +29,64 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    payloads = pages.select(F.col("page_id").alias("_id"), F.col("html").cast("binary").alias("_payload"))
+    owners = stored(warc.payload_owners(payloads), "warc-owners")
+    path = new_path(spark, "archives")
+    warc.write_archives(pages, owners, path, ARCHIVE_DATE)
+    facts = stored(warc.facts_of_responses(warc.read_archives(spark, path)), "warc-facts")
+
+    def page(record: Column) -> Column:
+        return F.nullif(F.regexp_extract(record, "^<urn:page:([^:]*):", 1), F.lit("")).cast("long")
+
+    return warc.payload_facts(facts).select(
+        page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("warc_type").alias("record_type"), page(F.col("refers_to")).alias("refers_to"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, url_filter.VOCABULARY)
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that may be learned from; the others are held out."""
+    return table(spark, sf_dir, "labels").filter(~held_out())
+
+
+def held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, training_labels(spark, sf_dir))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = stored(decontaminate.item_windows(table(spark, sf_dir, "benchmark")), "benchmark-windows")
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), windows)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_warc": op5_warc,
+    "op6_url_filter": op6_url_filter,
+    "op8_toxicity": op8_toxicity,
+    "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
 }

@@ -1,5 +1,76 @@
-"""The results of the queries as DuckDB SQL, where SQL can express them."""
+"""The results of the queries as DuckDB SQL, where SQL can express them. All lists are stated here, not imported."""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_OP5 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+     d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h,
+                  max(page_id) OVER (PARTITION BY sha256(b)) AS owner FROM p),
+     r AS (SELECT *, coalesce(n >= 1000 AND page_id < owner, false) AS again FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN owner END AS refers_to
+FROM r
+"""
+
+_STRICT = "casino cialis escort porn viagra xxx".split()
+_SOFT = "adult bet bonus cheap dating discount farm free loan pills poker replica sex spam win".split()
+
+
+def _hits(terms: list[str]) -> str:
+    edge = r"[^0-9a-z\x{80}-\x{10FFFF}]"
+    return " + ".join(f"CAST(regexp_matches(low, '(^|{edge}){t}({edge}|$)') AS INTEGER)" for t in terms)
+
+
+_OP6 = f"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url,
+                  translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+           FROM pages),
+     s AS (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+                  CASE WHEN contains(url, '://') THEN substr(low, strpos(url, '://') + 3) ELSE '' END AS low_rest FROM u),
+     h AS (SELECT *, regexp_extract(low_rest, '^[^/?#]*') AS host,
+                  regexp_replace(regexp_extract(rest, '^[^?#]*'), '^[^/]*', '') AS path,
+                  {_hits(_STRICT)} AS n_strict, {_hits(_SOFT)} AS n_soft FROM s),
+     rules(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                                             ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+     m AS (SELECT h.*, list(r.rhost || r.rpath ORDER BY length(r.rhost || r.rpath) DESC)
+                         FILTER (r.rhost IS NOT NULL) AS fits,
+                  list(r.verdict ORDER BY length(r.rhost || r.rpath) DESC) FILTER (r.rhost IS NOT NULL) AS says
+           FROM h LEFT JOIN rules r ON ('.' || h.host) LIKE ('%.' || r.rhost) AND starts_with(h.path, r.rpath)
+           GROUP BY ALL)
+SELECT page_id, host, path, fits[1] AS rule,
+       coalesce(says[1], CASE WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END) AS verdict,
+       n_strict, n_soft
+FROM m
+"""
+
+_OP9 = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+     bw AS (SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+     grams AS (SELECT DISTINCT item_id, least(13, len(w)) AS k,
+                      array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS g
+               FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM bw WHERE len(w) > 0)),
+     sizes AS (SELECT DISTINCT k FROM grams),
+     places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, sizes WHERE len(w) >= k),
+     found AS (SELECT p.doc_id, p.i, p.k, g.item_id
+               FROM (SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM places) p
+               JOIN grams g USING (k, g)),
+     hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+              FROM (SELECT doc_id, unnest(range(i, i + k)) AS word FROM found) GROUP BY doc_id),
+     items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+               FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": _OP5,
+    "op6_url_filter": _OP6,
+    "op9_decontaminate": _OP9,
+}

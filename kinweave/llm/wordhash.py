@@ -71,16 +71,20 @@ class Words:
         self.of_text = np.searchsorted(self.starts, bounds)
 
     def hashes(self) -> np.ndarray:
-        out = np.empty(len(self.starts), np.uint64)
+        return self.hashes_of(self.starts, self.ends)
+
+    def hashes_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the given ranges of bytes, which must be in order of their starts."""
+        out = np.empty(len(starts), np.uint64)
         i = 0
         while i < len(out):
-            j = max(i + 1, int(np.searchsorted(self.starts, self.starts[i] + CHUNK_BYTES)))
-            base = self.starts[i]
-            piece = self.data[base:self.ends[j - 1]]
+            j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK_BYTES)))
+            base = starts[i]
+            piece = self.data[base:ends[j - 1]]
             powers, inverse = _powers(len(piece))
             sums = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum(_BYTE_VALUES[piece] * powers[:len(piece)], out=sums[1:])
-            s, e = self.starts[i:j] - base, self.ends[i:j] - base
+            s, e = starts[i:j] - base, ends[i:j] - base
             out[i:j] = mixed((sums[e] - sums[s]) * inverse[s])
             i = j
         return out
