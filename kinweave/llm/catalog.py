@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, token_counts, toxicity, url_filter, warc
+from kinweave.llm import decontaminate, quality, token_counts, toxicity, url_filter, warc
 from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
@@ -33,6 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    group = ("lang", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", *group, "text")
+    counted = stored(quality.text_counts(docs), "quality-counts")
+    sketch = stored(quality.sketches(counted, group), "quality-sketches")
+    judged = quality.judge(counted, quality.group_fences(counted, sketch, group), group)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     payloads = pages.select(F.col("page_id").alias("_id"), F.col("html").cast("binary").alias("_payload"))
@@ -84,6 +94,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op8_toxicity": op8_toxicity,

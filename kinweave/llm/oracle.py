@@ -2,6 +2,56 @@
 
 from __future__ import annotations
 
+_OP1 = r"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+                  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+     win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS g
+             FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+     twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+     rep AS (SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+             FROM (SELECT doc_id, unnest(range(i, i + 5)) AS word FROM twice) GROUP BY doc_id),
+     c AS (SELECT w.doc_id, lang, source, len(ws)::BIGINT AS n_words,
+                  length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+                  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+           FROM w LEFT JOIN rep USING (doc_id)),
+     m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+                  CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END AS word_length,
+                  CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS symbols,
+                  CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_lines,
+                  CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_words FROM c),
+     v AS (UNPIVOT (SELECT lang, source, word_length, symbols, dup_lines, repeat_words FROM m WHERE NOT base_failed)
+           ON word_length, symbols, dup_lines, repeat_words INTO NAME measure VALUE value),
+     b AS (SELECT lang, source, measure, CASE WHEN value < 64 THEN value
+                  ELSE (value // (2 ** floor(log2(value) - 5))::BIGINT) * (2 ** floor(log2(value) - 5))::BIGINT
+                  END AS bin FROM v),
+     lv AS (SELECT grouping(lang, source) AS level, lang, source, measure, bin, count(*) AS n
+            FROM b GROUP BY GROUPING SETS ((lang, source, measure, bin), (lang, measure, bin), (measure, bin))),
+     q AS (SELECT level, lang, source, measure, max(total) AS total, min(bin) FILTER (4 * upto >= total) AS q1,
+                  min(bin) FILTER (4 * upto >= 3 * total) AS q3
+           FROM (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure) AS total,
+                        sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS upto FROM lv)
+           GROUP BY ALL),
+     spread(measure, least) AS (VALUES ('word_length', 1000), ('symbols', 30), ('dup_lines', 150), ('repeat_words', 60)),
+     f AS (SELECT g.lang, g.source, measure, arg_min(q3 + 3 * greatest(q3 - q1, least), level) AS high,
+                  arg_min(q1 - 3 * greatest(q3 - q1, least), level) AS low
+           FROM (SELECT DISTINCT lang, source FROM m) g
+           JOIN (SELECT * FROM q JOIN spread USING (measure)) q
+             ON (level = 3 OR total >= 200)
+            AND (level = 3 OR g.lang IS NOT DISTINCT FROM q.lang AND (level = 1 OR g.source IS NOT DISTINCT FROM q.source))
+           GROUP BY g.lang, g.source, measure),
+     p AS (SELECT lang, source, max(high) FILTER (measure = 'word_length') AS wl_high,
+                  max(low) FILTER (measure = 'word_length') AS wl_low, max(high) FILTER (measure = 'symbols') AS s_high,
+                  max(high) FILTER (measure = 'dup_lines') AS d_high,
+                  max(high) FILTER (measure = 'repeat_words') AS r_high FROM f GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(word_length BETWEEN wl_low AND wl_high AND symbols <= s_high
+                                    AND dup_lines <= d_high AND repeat_words <= r_high, false) AS kept
+FROM m LEFT JOIN p ON m.lang IS NOT DISTINCT FROM p.lang AND m.source IS NOT DISTINCT FROM p.source
+"""
+
 _OP5 = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
      d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h,
@@ -70,6 +120,7 @@ FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": _OP1,
     "op5_warc": _OP5,
     "op6_url_filter": _OP6,
     "op9_decontaminate": _OP9,

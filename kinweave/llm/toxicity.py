@@ -123,7 +123,7 @@ def _in_documents(texts: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return features, in_docs, np.bincount(which, weights=np.concatenate(toxic), minlength=len(features))
 
 
-def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 400, rate: float = 0.1, shrink: float = 1e-4) -> Model:
+def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 400, rate: float = 0.1, shrink: float = 1e-6) -> Model:
     """Weights by gradient descent on the likelihood of the document labels. The same input gives the same model.
 
     Takes part what occurs in more toxic documents than chance explains, at a level at which about one feature of all
