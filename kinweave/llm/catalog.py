@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, quality, token_counts, toxicity, url_filter, warc
+from kinweave.llm import decontaminate, minhash, quality, token_counts, toxicity, url_filter, warc
 from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
@@ -43,6 +43,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     payloads = pages.select(F.col("page_id").alias("_id"), F.col("html").cast("binary").alias("_payload"))
@@ -95,6 +99,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_minhash": op2_minhash,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op8_toxicity": op8_toxicity,
