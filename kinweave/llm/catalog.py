@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, minhash, quality, token_counts, toxicity, url_filter, warc
+from kinweave.llm import decontaminate, minhash, packing, quality, token_counts, toxicity, url_filter, warc
 from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
+SEQUENCE_TOKENS = 2048
 TOXIC_SCORE = 0.7
 ARCHIVE_DATE = "2024-01-01T00:00:00Z"
 
@@ -67,6 +68,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, url_filter.VOCABULARY)
 
 
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """The place of every piece; ids are reduced to a checksum as soon as they are made."""
+    cut = packing.pieces(docs, tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS)
+    cut = stored(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "packing-pieces")
+    return packing.pack(cut, SEQUENCE_TOKENS).select(
+        F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that may be learned from; the others are held out."""
     return table(spark, sf_dir, "labels").filter(~held_out())
@@ -102,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,

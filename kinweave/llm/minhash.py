@@ -103,10 +103,10 @@ def _may_link(n: Column, m: Column) -> Column:
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets are similar enough."""
-    own = sets.select(F.col("class_id").cast("string").alias("_key"), "shingles")
-    with_a = lookup(pairs.withColumn("_key", F.col("a").cast("string")), own, "_key", "inner")
-    with_a = with_a.select("a", "b", F.col("shingles").alias("_of_a"), F.col("b").cast("string").alias("_key"))
-    both = lookup(with_a, own, "_key", "inner")
+    own = sets.select(F.col("class_id").cast("string").alias("_node"), "shingles")
+    with_a = lookup(pairs.withColumn("_node", F.col("a").cast("string")), own, "_node", "inner")
+    with_a = with_a.select("a", "b", F.col("shingles").alias("_of_a"), F.col("b").cast("string").alias("_node"))
+    both = lookup(with_a, own, "_node", "inner")
     shared = F.size(F.array_intersect("_of_a", "shingles"))
     return both.select("a", "b", shared.alias("_n"), (F.size("_of_a") + F.size("shingles") - shared).alias("_union")).filter(
         100 * F.col("_n") >= SIMILAR_PERCENT * F.col("_union")).select("a", "b")

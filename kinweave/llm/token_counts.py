@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinweave.llm.units import length_encoder, spaced_units
+from kinweave.llm.units import LengthEncoder, encoder
 
 
 def token_counts(
@@ -27,11 +27,11 @@ def token_counts(
     each; other columns are not read. An empty table gives an empty result.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = length_encoder(tokenizer)
+        lengths = encoder(LengthEncoder, tokenizer)
         for batch in batches:
             texts = batch.column(1).fill_null("")
             n_bytes = pc.binary_length(texts).cast(pa.int64())
-            n_tokens = pa.array(encoder.encode(texts.to_pylist(), spaced_units), pa.int64())
+            n_tokens = pa.array(lengths.encode(texts.to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, n_tokens], ["_id", "n_bytes", "n_tokens"])
 
     schema = T.StructType([

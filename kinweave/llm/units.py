@@ -1,31 +1,42 @@
 """Texts cut into units that a tokenizer encodes alike alone and in place, so that each distinct unit is encoded once.
 
 A cut is safe before a single space or line break between two characters that are not white space: no pre-token of
-the tokenizers at hand reaches over it, and neither their special tokens nor their normalisation do. Spaces are
-judged by Python's ``\\s``, which covers the tokenizers' white space and a little more, so in doubt nothing is cut.
+the tokenizers at hand reaches over it, and neither their special tokens nor their normalisation do. A full stop or
+comma between a letter or digit and white space is a pre-token of its own. White space, letters and digits are judged
+by Python's ``\\s`` and ``\\w``: the first covers the tokenizers' white space and a little more, the second none but
+their letters, digits and the underscore. In doubt nothing is cut.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+
+import numpy as np
 
 #: Texts are encoded in batches of about this many characters; a longer text is cut at safe places.
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 21
 #: Units a Python worker remembers before it starts afresh.
-REMEMBERED = 500_000
-#: Units handed to the tokenizer in one call.
-CALL_UNITS = 20_000
+REMEMBERED = 700_000
+#: Units joined into one string for the tokenizer, and strings in one call.
+JOINED, CALL_TEXTS = 500, 64
 
 _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _UNEVEN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
-_WORD_AND_MARK = re.compile(r"([^\W\d_]+)([.,;:!?])")
+#: Full stops and commas that do not stand between a word and white space or the end, or beside another mark.
+_ODD_MARK = re.compile(r"(?:^|[^\w]|_)[.,]|[.,](?![ \n]|\Z)")
+_ODD_BARE_MARK = re.compile(r"(?:[^\w\s]|_)[.,]|[.,](?:[^\w\s]|_)")
+_ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
 
-_encoders: dict[tuple[str, str], UnitEncoder] = {}
+#: ASCII as letters and digits ``a``, full stop and comma ``.``, space and line break, tab and its like ``!``, the rest ``#``.
+_KINDS = bytes(
+    ord("a") if chr(b).isalnum() and b < 128 else ord(".") if b in b".," else ord(" ") if b in b" \n"
+    else ord("!") if chr(b).isspace() and b < 128 else ord("#") for b in range(256))
 
 
-def segments(text: str, limit: int = BATCH_CHARS) -> Iterator[str]:
+def segments(text: str, limit: int) -> Iterator[str]:
     """Pieces of about ``limit`` characters, cut only at safe places; together they are the text."""
     at = 0
     while len(text) - at > limit:
@@ -37,97 +48,173 @@ def segments(text: str, limit: int = BATCH_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def spaced_units(text: str) -> list[str]:
-    """Units of a text for a tokenizer to which a space before a word belongs. Their concatenation is the text."""
-    if _UNEVEN.search(text):
-        return _SAFE.split(text)
-    lines = text.split("\n")
-    out = []
-    for i, line in enumerate(lines):
-        words = line.split(" ")
-        if i:
-            out.append("\n")
-        out.append(words[0])
-        out += [f" {w}" for w in words[1:]]
-    return out
+def _batches(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """(index, piece) of texts, in runs of about ``BATCH_CHARS`` characters."""
+    run, held = [], 0
+    for i, text in enumerate(texts):
+        for piece in segments(text, BATCH_CHARS):
+            run.append((i, piece))
+            held += len(piece)
+            if held >= BATCH_CHARS:
+                yield run
+                run, held = [], 0
+    yield run
 
 
 def bare_units(text: str) -> list[str]:
-    """Units of a text for a tokenizer that drops white space and case: words, in lower case as far as they are ASCII."""
+    """Units in order for a tokenizer that drops white space and case: words, in lower case as far as they are ASCII."""
     if "<|" not in text:
         text = text.encode().translate(_ASCII_LOWER).decode()
+    if not _has_odd_bare_mark(text):
+        text = text.replace(".", " . ").replace(",", " , ")
     return text.replace("\n", " ").split(" ")
 
 
-_ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-
-
-class UnitEncoder:
-    """Encodes units with one tokenizer and remembers what it has seen. ``value`` turns token ids into what is kept."""
-
-    def __init__(self, path: str, value: Callable[[list[int]], object], join: Callable[[Iterable], object]):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.value, self.join = value, join
-        self.known: dict[str, object] = {}
-
-    def _encode(self, units: set[str]) -> None:
-        split = {u: m.groups() for u in units if (m := _WORD_AND_MARK.fullmatch(u[1:] if u[:1] == " " else u))}
-        plain = units.difference(split)
-        for u, (word, mark) in split.items():
-            plain.add(f" {word}" if u[:1] == " " else word)
-            plain.add(mark)
-        missing = [u for u in plain if u not in self.known]
-        for i in range(0, len(missing), CALL_UNITS):
-            part = missing[i:i + CALL_UNITS]
-            for u, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[u] = self.value(found.ids)
-        for u, (word, mark) in split.items():
-            self.known[u] = self.join((self.known[f" {word}" if u[:1] == " " else word], self.known[mark]))
-
-    def encode(self, texts: list[str], cut: Callable[[str], list[str]]) -> Iterator:
-        """The joined values of each text, in order."""
-        parts: list[tuple[int, list[str]]] = []
-        held, done = 0, {}
-        for i, text in enumerate(texts):
-            for piece in segments(text):
-                parts.append((i, cut(piece)))
-                held += len(piece)
-                if held >= BATCH_CHARS:
-                    self._add(parts, done)
-                    parts, held = [], 0
-        self._add(parts, done)
-        for i in range(len(texts)):
-            values = done.get(i, [])
-            yield values[0] if len(values) == 1 else self.join(values)
-
-    def _add(self, parts: list[tuple[int, list[str]]], done: dict[int, list]) -> None:
-        units = set().union(*(p for _, p in parts))
-        new = {u for u in units if u not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = units
-        self._encode(new)
-        known = self.known.__getitem__
-        for i, own in parts:
-            done.setdefault(i, []).append(self.join(map(known, own)))
+def _has_odd_bare_mark(text: str) -> bool:
+    if text.isascii():
+        kinds = text.encode().translate(_KINDS)
+        return b"#." in kinds or b".#" in kinds or b".." in kinds
+    return _ODD_BARE_MARK.search(text) is not None
+
+
+def _is_odd(text: str) -> tuple[bool, bool]:
+    """Whether marks, or white space, stand elsewhere than a single one behind or between words."""
+    if not text.isascii():
+        return _ODD_MARK.search(text) is not None, _UNEVEN.search(text) is not None
+    kinds = text.encode().translate(_KINDS)
+    marks = any(odd in kinds for odd in (b"#.", b".#", b"..", b" .", b".a", b"!.", b".!")) or kinds[:1] == b"."
+    return marks, b"  " in kinds or b"!" in kinds or kinds[:1] == b" " or kinds[-1:] == b" "
+
+
+def loose_units(text: str) -> tuple[list[str], list[str]]:
+    """Units with as many tokens as the text, in any order, for a tokenizer to which a space before a word belongs.
+
+    The second list has units that are preceded by a space, without it.
+    """
+    plain, spaced = [], []
+    odd_marks, uneven = _is_odd(text)
+    if not odd_marks:
+        plain += ["."] * text.count(".") + [","] * text.count(",")
+        text = text.replace(".", "").replace(",", "")
+    if uneven:
+        for unit in _SAFE.split(text):
+            (spaced if unit[:1] == " " else plain).append(unit.removeprefix(" "))
+        return plain, spaced
+    lines = text.split("\n")
+    plain += ["\n"] * (len(lines) - 1)
+    for line in lines:
+        words = line.split(" ")
+        plain.append(words[0])
+        spaced += words[1:]
+    return plain, spaced
 
 
-def length_encoder(path: str) -> UnitEncoder:
-    """Numbers of tokens. One encoder for each Python worker and tokenizer."""
-    if (path, "length") not in _encoders:
-        _encoders[path, "length"] = UnitEncoder(path, len, sum)
-    return _encoders[path, "length"]
+class _Known:
+    """What is known of units. ``split`` finds the places of the joined words in a list of token ids."""
 
+    def __init__(
+        self, tokenizer, lead: str, joint: str, split: Callable[[np.ndarray], list[tuple[int, int]]],
+        value: Callable[[np.ndarray], object],
+    ):
+        self.tokenizer, self.lead, self.joint, self.split, self.value = tokenizer, lead, joint, split, value
+        self.of: dict[str, object] = {}
 
-def id_encoder(path: str) -> UnitEncoder:
-    """Token ids as little-endian unsigned 32-bit numbers."""
-    if (path, "ids") not in _encoders:
-        _encoders[path, "ids"] = UnitEncoder(path, packed, b"".join)
-    return _encoders[path, "ids"]
+    def learn(self, units: set[str]) -> None:
+        new = units.difference(self.of)
+        if len(self.of) + len(new) > REMEMBERED:
+            self.of.clear()
+            new = units
+        words = [u for u in new if u.isalpha()]
+        rest = [u for u in new if not u.isalpha()]
+        runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for run, ids in zip(runs, self._ids([self.joint.join(self.lead + w for w in r) for r in runs]), strict=True):
+            places = self.split(ids)
+            if len(places) == len(run):
+                for word, (a, b) in zip(run, places, strict=True):
+                    self.of[word] = self.value(ids[a:b])
+            else:
+                rest += run
+        for unit, ids in zip(rest, self._ids([self.lead + u for u in rest]), strict=True):
+            self.of[unit] = self.value(ids)
+
+    def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), CALL_TEXTS):
+            for found in self.tokenizer.encode_batch_fast(texts[i:i + CALL_TEXTS], add_special_tokens=False):
+                yield np.array(found.ids, "<u4")
+
+
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+class LengthEncoder:
+    """Numbers of tokens by a byte-level tokenizer, in which a line break between words is a token of its own."""
+
+    def __init__(self, path: str):
+        tokenizer = _tokenizer(path)
+        (line,) = tokenizer.encode("\n", add_special_tokens=False).ids
+
+        def split(ids: np.ndarray) -> list[tuple[int, int]]:
+            at = np.flatnonzero(ids == line).tolist()
+            return list(zip([0, *(a + 1 for a in at)], [*at, len(ids)], strict=True))
+
+        self.plain, self.spaced = (_Known(tokenizer, lead, "\n", split, len) for lead in ("", " "))
+        self.plain.of[""] = 0
+
+    def encode(self, texts: list[str]) -> list[int]:
+        out = [0] * len(texts)
+        for run in _batches(texts):
+            cut = [(i, *loose_units(piece)) for i, piece in run]
+            self.plain.learn(set().union(*(p for _, p, _ in cut)))
+            self.spaced.learn(set().union(*(s for _, _, s in cut)))
+            plain, spaced = self.plain.of.__getitem__, self.spaced.of.__getitem__
+            for i, p, s in cut:
+                out[i] += sum(map(plain, p)) + sum(map(spaced, s))
+        return out
+
+
+class IdEncoder:
+    """Token ids, as little-endian unsigned 32-bit numbers, by a tokenizer that marks the last token of a word."""
+
+    def __init__(self, path: str, mark: str = "</w>"):
+        tokenizer = _tokenizer(path)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(mark)]] = True
+
+        def split(ids: np.ndarray) -> list[tuple[int, int]]:
+            at = (np.flatnonzero(ends[ids]) + 1).tolist()
+            return list(zip([0, *at[:-1]], at, strict=True)) if at else []
+
+        self.known = _Known(tokenizer, "", " ", split, np.ndarray.tobytes)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        held, done = [], 0
+        for run in _batches(texts):
+            cut = [(i, bare_units(piece)) for i, piece in run]
+            self.known.learn(set().union(*(u for _, u in cut)))
+            known = self.known.of.__getitem__
+            for i, units in cut:
+                if i > done:
+                    yield b"".join(held)
+                    held, done = [], i
+                held.append(b"".join(map(known, units)))
+        if texts:
+            yield b"".join(held)
+
+
+_encoders: dict[tuple[type, str], object] = {}
+
+
+def encoder(kind: type, path: str):
+    """One encoder for each Python worker and tokenizer."""
+    if (kind, path) not in _encoders:
+        _encoders[kind, path] = kind(path)
+    return _encoders[kind, path]
 
 
 def packed(ids: list[int]) -> bytes:

@@ -14,7 +14,7 @@ WORD = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", " ", "\n", "a", "a b", " a  b ", "a\n\nb", "it's o' s don't", "x<|endoftext|>y <|endoftext|> z", "<|ENDOFTEXT|> A",
     "<|startoftext|>", "tab\tand\x1cfs\x85nel nbsp　wide", "ΟΔΟΣ ΑΣ. Σ", "é ́x", "1,000.5 m² 10kg.", "ﬁ ǅ İI",
-    "日本語。テスト 中文", "a" * 3000, "word. " * 50 + "end", "🙂🙂 x﻿ y​ z", "A.\nB, c;\nd", "foo \n bar\n", "'s 's\n's",
+    "日本語。テスト 中文", "a" * 3000, "word. " * 50 + "end", "🙂🙂 x﻿ y​ z", "A.\nB, c;\nd", "a.", ".a", "a.b,c", "x_. y", "e.g., z", "end.\n", "a , b .", "á. b", "². ¾,", "a.\tb. c", "foo \n bar\n", "'s 's\n's",
 ]
 
 
@@ -32,15 +32,14 @@ def corpus():
 def test_units_give_the_ids_of_the_whole_text(texts, monkeypatch):
     monkeypatch.setattr(units, "BATCH_CHARS", 64)
     monkeypatch.setattr(units, "REMEMBERED", 500)
-    for path, cut in ((BYTE, units.spaced_units), (WORD, units.bare_units)):
+    monkeypatch.setattr(units, "JOINED", 7)
+    for path, make in ((BYTE, units.LengthEncoder), (WORD, units.IdEncoder)):
         whole = Tokenizer.from_file(path)
         expected = [whole.encode(t, add_special_tokens=False).ids for t in texts]
-        ids = units.UnitEncoder(path, units.packed, b"".join).encode(texts, cut)
-        assert list(ids) == [units.packed(x) for x in expected]
-        assert list(units.UnitEncoder(path, len, sum).encode(texts, cut)) == [len(x) for x in expected]
+        got = list(make(path).encode(texts))
+        assert got == [len(x) if make is units.LengthEncoder else units.packed(x) for x in expected]
 
 
 def test_segments_join_to_the_text():
     for text in [*ODD, *pieces()]:
         assert "".join(units.segments(text, 7)) == text
-        assert "".join(units.spaced_units(text)) == text
