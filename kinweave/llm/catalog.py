@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc
+from kinweave.llm import decontaminate, line_dedup, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc
 from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
@@ -48,6 +48,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeated(table(spark, sf_dir, "documents"))
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -121,6 +126,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash": op2_minhash,
+    "op3_line_dedup": op3_line_dedup,
     "op4_suffix_array": op4_suffix_array,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
