@@ -179,26 +179,32 @@ def train(
     return fit(rows["_text"].combine_chunks(), toxic)
 
 
+def _scored(texts: pa.Array, model: Model, bits: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
+    """The score of each text and its offending sentences."""
+    scores, places = [np.empty(0)], []
+    for first, end, part in _parts(texts):
+        sentence, word = _matches(part, model.features, bits)
+        n = len(part.text)
+        p = _sigmoid(model.bias + np.bincount(sentence, weights=model.weights[word], minlength=n)[:n])
+        none = np.bincount(part.text, weights=np.log1p(-np.minimum(p, 1 - 1e-15)), minlength=end - first)
+        scores.append(-np.expm1(none))
+        own: dict[int, list[dict]] = {}
+        words, firsts = part.words, np.searchsorted(part.of_word, np.arange(n + 1))
+        for s in np.flatnonzero(p >= OFFENDING).tolist():
+            start = int(words.bounds[part.text[s]])
+            own.setdefault(int(part.text[s]), []).append({
+                "first_byte": int(words.starts[firsts[s]]) - start,
+                "end_byte": int(words.ends[firsts[s + 1] - 1]) - start, "score": float(p[s])})
+        places += [own.get(k, []) for k in range(end - first)]
+    return np.clip(np.concatenate(scores), 0, 1), places
+
+
 def _score(batches: Iterator[pa.RecordBatch], model: Model, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     bits = _bits(model.features)
     for batch in batches:
-        scores, places = [np.empty(0)], []
-        for first, end, part in _parts(batch.column(1)):
-            sentence, word = _matches(part, model.features, bits)
-            n = len(part.text)
-            p = _sigmoid(model.bias + np.bincount(sentence, weights=model.weights[word], minlength=n)[:n])
-            none = np.bincount(part.text, weights=np.log1p(-np.minimum(p, 1 - 1e-15)), minlength=end - first)
-            scores.append(-np.expm1(none))
-            own: dict[int, list[dict]] = {}
-            words, firsts = part.words, np.searchsorted(part.of_word, np.arange(n + 1))
-            for s in np.flatnonzero(p >= OFFENDING).tolist():
-                start = int(words.bounds[part.text[s]])
-                own.setdefault(int(part.text[s]), []).append({
-                    "first_byte": int(words.starts[firsts[s]]) - start,
-                    "end_byte": int(words.ends[firsts[s + 1] - 1]) - start, "score": float(p[s])})
-            places += [own.get(k, []) for k in range(end - first)]
-        scores = pa.array(np.clip(np.concatenate(scores), 0, 1), pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), scores, pa.array(places, schema.field(2).type)], schema=schema)
+        scores, places = _scored(batch.column(1), model, bits)
+        columns = [batch.column(0), pa.array(scores, pa.float64()), pa.array(places, schema.field(2).type)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -219,3 +225,16 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     return rows.mapInArrow(lambda batches: _score(batches, held.value, arrow), schema).withColumnRenamed("_id", id_column)
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, in all their columns, that score below ``threshold``. No row is shuffled."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _bits(held.value.features)
+        for batch in batches:
+            yield batch.filter(pa.array(_scored(batch.column(at), held.value, bits)[0] < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -51,7 +51,7 @@ def check(spark, rows):
 
 
 def test_table_against_brute_force(spark):
-    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
     check(spark, rows)
 
 
