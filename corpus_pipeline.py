@@ -1,16 +1,67 @@
-"""A training corpus from raw documents: each stage works on all that the one before it kept."""
+"""A training corpus from raw documents: each stage works on all that the one before it kept.
+
+All stages but the last return the columns of ``documents``. Rows with a null id pass the stages that compare documents;
+an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kinweave.llm import decontaminate, line_dedup, minhash, toxicity
+from kinweave.llm.catalog import TOXIC_SCORE, packed_documents, table, training_labels
 from kinweave.llm.scratch import stored
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
 
-#: Tokenizers and learned scores are beyond SQL; tests hold every stage against brute force.
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold."""
+    model = toxicity.train(docs, training_labels(spark, sf_dir))
+    return toxicity.without_toxic(docs, model, TOXIC_SCORE)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that nearly equal an earlier one; a document left without any word goes."""
+    cut = line_dedup.without_repeated_lines(docs)
+    changed = F.col("n_removed") > 0
+    rest = cut.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return rest.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(
+        *docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    found = minhash.near_duplicates(docs)
+    return _without(docs, found.filter(~F.col("kept")))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which too little is in the benchmark to call them contaminated."""
+    windows = stored(decontaminate.item_windows(table(spark, sf_dir, "benchmark")), "benchmark-windows")
+    return _without(docs, decontaminate.contamination(docs, windows).filter("contaminated"))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    ids = stored(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
+    return docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of fixed size."""
+    return packed_documents(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("minhash", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("packing", pack),
+]
+
+#: Learned scores, components and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
