@@ -1,9 +1,10 @@
 """Near duplicates by min-max hashing: under each permutation of the shingles both the least and the greatest are kept.
 
 Half the permutations give a signature of full length. Documents with equal sets are one class first. Classes that
-agree in a band meet in a bucket; a bucket is not expanded into pairs, but compared with pivots: what a pivot links is
-one component and needs no further comparison, the rest meets more pivots until every pair in the bucket is linked,
-reached through links, or refuted on the full sets.
+agree in a band meet in a bucket; a bucket is not expanded into pairs, but compared with its first class, the pivot.
+Classes that resemble the same pivot are then compared by their differences from it, in which the common part of a large
+family of variants cancels out. The rest meets more pivots, until every pair of a bucket is linked, reached through links,
+or refuted on the full sets.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ SIMILAR_PERCENT = 85
 #: A pair at the threshold misses all bands with a probability below one in a million: (1 - 0.85^6)^30.
 BANDS = 30
 BAND_VALUES = 6
+#: A class is described by its difference from a pivot if that is at most one in so many of their elements together.
+HOME_PART = 3
 #: Pivots of a bucket in a later round, as a power of the round.
-PIVOT_GROWTH = 8
+PIVOT_GROWTH = 64
 
 _PERMUTATIONS = BANDS * BAND_VALUES // 2
 _draw = np.random.default_rng(23)
@@ -101,28 +104,96 @@ def _may_link(n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= SIMILAR_PERCENT * F.greatest(n, m)
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` with the sizes ``n``, ``m`` of their sets and the elements ``only_a``, ``only_b`` of one."""
     own = sets.select(F.col("class_id").cast("string").alias("_node"), "shingles")
     with_a = lookup(pairs.withColumn("_node", F.col("a").cast("string")), own, "_node", "inner")
     with_a = with_a.select("a", "b", F.col("shingles").alias("_of_a"), F.col("b").cast("string").alias("_node"))
     both = lookup(with_a, own, "_node", "inner")
-    shared = F.size(F.array_intersect("_of_a", "shingles"))
-    return both.select("a", "b", shared.alias("_n"), (F.size("_of_a") + F.size("shingles") - shared).alias("_union")).filter(
-        100 * F.col("_n") >= SIMILAR_PERCENT * F.col("_union")).select("a", "b")
+    return both.select(
+        "a", "b", F.size("_of_a").alias("n"), F.size("shingles").alias("m"),
+        F.array_sort(F.array_except("_of_a", "shingles")).alias("only_a"),
+        F.array_sort(F.array_except("shingles", "_of_a")).alias("only_b"))
+
+
+def _similar(n: Column, m: Column, differing: Column) -> Column:
+    """Sets of n and m elements of which so many are in one only: the common ones are enough of the union."""
+    return (100 - SIMILAR_PERCENT) * (n + m) >= (100 + SIMILAR_PERCENT) * differing
 
 
 def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Members of a bucket beside its pivots, unless known to be connected; each pair once."""
+    """Members of a bucket beside its pivots, unless connected or of the same home; each pair once."""
     left = members.withColumn("_bucket", F.col("bucket").cast("string"))
     right = pivots.select(
         F.col("bucket").cast("string").alias("_bucket"), F.col("_p.class_id").alias("pivot"), F.col("_p.n").alias("_m"),
-        F.col("_p.label").alias("_label"))
+        F.col("_p.label").alias("_label"), F.col("_p.home").alias("_home"))
     beside = lookup(left, right, "_bucket", "inner").filter(
-        (F.col("class_id") != F.col("pivot")) & (F.col("label") != F.col("_label")) & _may_link(F.col("n"), F.col("_m")))
+        (F.col("class_id") != F.col("pivot")) & (F.col("label") != F.col("_label")) & (F.col("home") != F.col("_home"))
+        & _may_link(F.col("n"), F.col("_m")))
     return beside.select(F.greatest("class_id", "pivot").alias("a"), F.least("class_id", "pivot").alias("b")).distinct()
 
 
+def _homes(met: DataFrame) -> DataFrame:
+    """``home, class_id, n, excess, differing``: each class by its difference from the first pivot it resembles.
+
+    ``differing`` has the elements that only one of class and home has, those of the class first. ``excess`` is such that
+    two classes of a home that share no such element are linked if theirs add up to no more than zero.
+    """
+    differing = F.concat("only_a", "only_b")
+    near = met.filter(HOME_PART * F.size(differing) <= F.col("n") + F.col("m")).groupBy("a").agg(
+        F.min(F.struct("b", "n", "m", differing.alias("differing"))).alias("_h"))
+    own = near.select(
+        F.col("_h.b").alias("home"), F.col("a").alias("class_id"), F.col("_h.n").alias("n"),
+        F.col("_h.differing").alias("differing"))
+    pivots = near.groupBy(F.col("_h.b").alias("home")).agg(F.max("_h.m").alias("n")).select(
+        "home", F.col("home").alias("class_id"), "n", F.array().cast("array<long>").alias("differing"))
+    excess = (100 + SIMILAR_PERCENT) * F.size("differing") - (100 - SIMILAR_PERCENT) * F.col("n")
+    return own.unionByName(pivots).withColumn("excess", excess)
+
+
+def _home_links(homes: DataFrame) -> DataFrame:
+    """Classes linked with the one of least excess in their home: whoever is linked without sharing a difference is."""
+    least = homes.groupBy("home").agg(F.min(F.struct("excess", "class_id")).alias("_l")).select(
+        F.col("home").cast("string").alias("_home"), F.col("_l.excess").alias("_least"), F.col("_l.class_id").alias("b"))
+    found = lookup(homes.drop("differing").withColumn("_home", F.col("home").cast("string")), least, "_home", "inner")
+    return found.filter((F.col("class_id") != F.col("b")) & (F.col("excess") + F.col("_least") <= 0)).select(
+        F.col("class_id").alias("a"), "b")
+
+
+def _difference_links(homes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links of classes of one home that share differences from it, found and confirmed on the differences alone.
+
+    The common part of a family cancels out, so its variants meet only where they depart from it alike.
+    """
+    named = stored(_labelled(homes, labels), "minhash-homes")
+    rows = named.select(
+        "home", "class_id", "n", "excess", "label", F.size("differing").alias("size"),
+        F.posexplode("differing").alias("place", "element"))
+    a, b = (rows.toDF(*[f"{side}_{c}" for c in rows.columns]) for side in ("a", "b"))
+    room = 1 + F.least(F.col("a_size") - 1 - F.col("a_place"), F.col("b_size") - 1 - F.col("b_place"))
+    needed = F.col("a_excess") + F.col("b_excess")
+    met = a.join(b, (F.col("a_home") == F.col("b_home")) & (F.col("a_element") == F.col("b_element")) & (
+        F.col("a_class_id") > F.col("b_class_id")) & (F.col("a_label") != F.col("b_label")) & _may_link(
+        F.col("a_n"), F.col("b_n")) & (2 * (100 + SIMILAR_PERCENT) * room >= needed))
+    pairs = stored(met.select(
+        F.col("a_home").alias("home"), F.col("a_class_id").alias("a"), F.col("b_class_id").alias("b"), needed.alias("needed"))
+        .distinct(), "minhash-pairs")
+    own = named.select("home", "class_id", "differing")
+    x, y = (own.toDF(f"_{side}h", f"_{side}", f"_{side}d") for side in ("x", "y"))
+    both = pairs.join(x, (F.col("home") == F.col("_xh")) & (F.col("a") == F.col("_x"))).join(
+        y, (F.col("home") == F.col("_yh")) & (F.col("b") == F.col("_y")))
+    shared = F.size(F.array_intersect("_xd", "_yd"))
+    return both.filter(2 * (100 + SIMILAR_PERCENT) * shared >= F.col("needed")).select("a", "b")
+
+
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``classes`` with the label of their component, their own id if they have no link to a smaller one."""
+    found = lookup(
+        classes.withColumn("_class", F.col("class_id").cast("string")),
+        labels.select(F.col("node").cast("string").alias("_class"), "label"), "_class")
+    return found.withColumn("label", F.coalesce("label", "class_id")).drop("_class")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column, n_shingles, component_id, kept`` for each row of ``docs``.
 
@@ -144,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     found = lookup(
         rows.withColumn("_bucket", F.col("bucket").cast("string")),
         shared.select(F.col("bucket").cast("string").alias("_bucket")), "_bucket", "left_semi")
-    members = stored(found.select("bucket", "class_id", "n", F.col("class_id").alias("label")), "minhash-members")
+    members = stored(found.select("bucket", "class_id", "n", F.col("class_id").alias("label"), F.col("class_id").alias("home")), "minhash-members")
 
     asked = members.select(F.col("class_id").alias("_class")).distinct()
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
@@ -167,33 +238,45 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def _connect(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, label`` of the components of all links between members of the same bucket."""
-    links = tested = labels = None
-    turn = 0
+    pivots = members.groupBy("bucket").agg(F.min(F.struct("class_id", "n", "label", "home")).alias("_p"))
+    pairs = stored(_pairs(members, pivots), "minhash-pairs")
+    met = stored(compared(pairs, sets), "minhash-compared")
+    differing = F.size("only_a") + F.size("only_b")
+    links = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
+    homes = stored(_homes(met), "minhash-homes")
+    links = links.union(_home_links(homes))
+    labels = components(links)
+    links = stored(links.union(_difference_links(homes, labels)), "minhash-links")
+    labels = components(links)
+
+    # What is left are pairs of different homes, met by more and more pivots of their buckets.
+    tested, turn = pairs, 1
+    home = homes.filter(F.col("class_id") != F.col("home")).select(F.col("class_id").cast("string").alias("_class"), "home")
+    pivot_home = homes.filter(F.col("class_id") == F.col("home")).select(
+        F.col("home").cast("string").alias("_class"), F.col("home").alias("_own"))
+    members = members.drop("home").withColumn("_class", F.col("class_id").cast("string"))
+    members = lookup(lookup(members, home, "_class"), pivot_home, "_class")
+    members = members.withColumn("home", F.coalesce("home", "_own", "class_id")).drop("_class", "_own")
     while True:
-        # In the first round a bucket has one pivot; a pivot has met the whole bucket and leaves it.
+        named = _labelled(members.drop("label"), labels)
+        split = named.groupBy("bucket").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("label", "home")])
+        split = split.filter((F.col("min_label") < F.col("max_label")) & (F.col("min_home") < F.col("max_home"))).select(
+            F.col("bucket").cast("string").alias("_bucket"))
+        members = lookup(named.withColumn("_bucket", F.col("bucket").cast("string")), split, "_bucket", "left_semi")
+        members = stored(members.select("bucket", "class_id", "n", "label", "home"), "minhash-members")
+        if members.isEmpty():
+            return labels
         slot = F.pmod(F.xxhash64("class_id", F.lit(turn)), F.lit(PIVOT_GROWTH**turn))
         pivots = stored(
-            members.groupBy("bucket", slot.alias("_slot")).agg(F.min(F.struct("class_id", "n", "label")).alias("_p")),
+            members.groupBy("bucket", slot.alias("_slot")).agg(F.min(F.struct("class_id", "n", "label", "home")).alias("_p")),
             "minhash-pivots")
-        pairs = _pairs(members, pivots)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "minhash-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = stored(linked(pairs, sets), "minhash-links")
-        links = new if links is None else links.unionByName(new)
+        pairs = stored(_pairs(members, pivots).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        tested = tested.unionByName(pairs)
+        met = compared(pairs, sets)
+        new = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
+        links = stored(links.union(new), "minhash-links")
         labels = components(links)
-
-        met = pivots.select(F.col("bucket").alias("_b"), F.col("_p.class_id").alias("_c"))
-        rest = members.join(met, (F.col("bucket") == F.col("_b")) & (F.col("class_id") == F.col("_c")), "left_anti")
-        named = lookup(
-            rest.drop("label").withColumn("_class", F.col("class_id").cast("string")),
-            labels.select(F.col("node").cast("string").alias("_class"), "label"), "_class")
-        named = named.withColumn("label", F.coalesce("label", "class_id"))
-        split = named.groupBy("bucket").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
-        split = split.filter(F.col("_least") < F.col("_most")).select(F.col("bucket").cast("string").alias("_bucket"))
-        members = lookup(named.withColumn("_bucket", F.col("bucket").cast("string")), split, "_bucket", "left_semi")
-        members = stored(members.select("bucket", "class_id", "n", "label"), "minhash-members")
-        if members.isEmpty():
-            return labels
+        # A pivot has met all of its bucket and leaves it.
+        seen = pivots.select(F.col("bucket").alias("_b"), F.col("_p.class_id").alias("_c"))
+        members = members.join(seen, (F.col("bucket") == F.col("_b")) & (F.col("class_id") == F.col("_c")), "left_anti")
         turn += 1
