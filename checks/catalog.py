@@ -7,6 +7,7 @@ read them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import cached_property
 
@@ -20,7 +21,8 @@ from kinweave.operators import (
 )
 from kinweave.plans.daily import DailyRun, Inputs
 from kinweave.schemas import COREBANKING, conform_schema
-from kinweave.sources.rules import rules_table
+from kinweave.session import shared_folder
+from kinweave.sources.rules import rules_table, survivorship_rules
 from kinweave.sources.tables import written
 
 # Fixed weights for the scoring queries: (m, u) for exact, close, near and different values of any field.
@@ -28,9 +30,9 @@ LEAD_WEIGHTS = {3: (0.80, 0.02), 2: (0.10, 0.02), 1: (0.05, 0.06), 0: (0.05, 0.9
 LEAD_PRIOR = 0.001
 # Attributes whose change opens a new version in the history query.
 HISTORY_TRACKED = ("full_name", "date_of_birth", "nationality_code", "gender_code", "language_code")
-LARGE_BLOCK = 1
+EM_ROUNDS = 8
 # Steps that more than one branch of a single query reads.
-KEPT = ("anchored_links", "xref", "bridge", "candidates")
+KEPT = ("anchored_links", "sf_links", "xref", "bridge", "candidates")
 
 
 class Case:
@@ -102,10 +104,13 @@ def _sf_links(c: Case) -> DataFrame:
 
 
 def _rule_use(c: Case) -> DataFrame:
-    """The rules with the number of values each one governs."""
+    """The rules, read from a CSV file written from the default ones, with the number of values each one governs."""
+    path = f"{shared_folder(c.spark)}/rules-{uuid.uuid4().hex}"
+    rules_table(c.spark).write.option("header", True).csv(path)
+    rules = survivorship_rules(c.spark, path)
     used = c.run.candidates.groupBy("attribute_name", "source_system").agg(
         F.count("attribute_value").alias("value_count"))
-    return rules_table(c.spark).drop("rationale").join(
+    return rules_table(c.spark, rules).drop("rationale").join(
         used, ["attribute_name", "source_system"], "left").fillna(0, ["value_count"])
 
 
@@ -157,8 +162,9 @@ def _score(c: Case) -> DataFrame:
 def _estimate_m(c: Case) -> DataFrame:
     people, people_u = leads.lead_patterns(leads.lead_compare(c.pairs)), leads.lead_estimate_u(
         c.fx.fx_lead, c.fx.fx_person)
-    weights, _ = leads.lead_estimate_m(people, people_u)
-    return leads.weights_table(people, weights)
+    weights, _ = leads.lead_estimate_m(people, people_u, rounds=EM_ROUNDS)
+    return leads.weights_table(people, weights).select(
+        "field", "level", F.round("m", 6).alias("m"), F.round("u", 6).alias("u"))
 
 
 QUERIES: dict[str, Callable[[Case], DataFrame]] = {
@@ -168,7 +174,7 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "pii_token_arrow": lambda c: _token(tokens.arrow_tokenizer(lambda: b"fixture-key"), c),
     "contact_points_norm": lambda c: c.run.contact_norm,
     "primary_anchor": lambda c: links.primary_anchor(c.run.anchors),
-    "anchor_conflicts": lambda c: _joined(_conflicts(c), "conflicting_cif_ids"),
+    "anchor_conflicts": _conflicts,
     "corebanking_links": lambda c: links.corebanking_links(
         links.primary_anchor(c.run.anchors), c.fx.fx_xref_prior),
     "mint_key": _mint_key,
@@ -198,6 +204,7 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "golden_quarantined": lambda c: golden.golden_quarantined(c.run.survivors),
     "golden_snapshot": lambda c: c.run.snapshot,
     "scd2_apply": lambda c: _versions(c.dim_new),
+    "golden_history": lambda c: _versions(golden.golden_history(c.run.snapshot, c.fx.fx_dim_prior, RUN_DATE)),
     "device_bridge_upsert": lambda c: devices.device_bridge_upsert(
         c.fx.fx_bridge_prior, c.fx.fx_app_event, c.run.xref, RUN_DATE),
     "single_owner_devices": lambda c: devices.single_owner_devices(c.run.bridge),
@@ -223,7 +230,7 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
         c.run.contact_norm, "contact_type_code", ["EMAIL", "MOBILE"]),
     "conform_schema": lambda c: _versions(conform_schema(c.dim_new)),
     "lead_blocks": lambda c: c.pairs.select("lead_id", "person_id", "block"),
-    "lead_block_members": lambda c: leads.lead_block_members(c.fx.fx_lead, c.fx.fx_person, LARGE_BLOCK),
+    "lead_block_members": lambda c: leads.lead_block_members(c.fx.fx_lead, c.fx.fx_person),
     "lead_compare": lambda c: leads.lead_compare(c.pairs),
     "lead_estimate_u": lambda c: leads.lead_estimate_u(c.fx.fx_lead, c.fx.fx_person),
     "lead_estimate_m": _estimate_m,

@@ -207,13 +207,13 @@ SELECT {CIF} AS person_id, split_part({FIRST_NAMES}, ',', CAST(c_custkey % 8 + 1
 FROM {{customer}}""",
         "fx_lead": f"""
 SELECT concat('LEAD', CAST(c_custkey AS STRING)) AS person_id, p.first_name,
-  CASE WHEN c_custkey % 60 = 6 THEN concat(p.last_name, 'i') ELSE p.last_name END AS last_name,
-  CASE WHEN c_custkey % 180 = 36 THEN NULL ELSE p.date_of_birth END AS date_of_birth,
-  CASE WHEN c_custkey % 90 = 6 THEN NULL WHEN c_custkey % 90 = 36 THEN concat('x', p.email) ELSE p.email END AS email,
-  CASE WHEN c_custkey % 120 = 6 THEN NULL
-       WHEN c_custkey % 120 = 66 THEN concat('+97150', lpad(CAST(c_custkey + 1 AS STRING), 7, '0'))
+  CASE WHEN c_custkey % 6 = 1 THEN concat(p.last_name, 'i') ELSE p.last_name END AS last_name,
+  CASE WHEN c_custkey % 18 = 5 THEN NULL ELSE p.date_of_birth END AS date_of_birth,
+  CASE WHEN c_custkey % 9 = 2 THEN NULL WHEN c_custkey % 9 = 7 THEN concat('x', p.email) ELSE p.email END AS email,
+  CASE WHEN c_custkey % 12 = 3 THEN NULL
+       WHEN c_custkey % 12 = 8 THEN concat('+97150', lpad(CAST(c_custkey + 1 AS STRING), 7, '0'))
        ELSE p.mobile END AS mobile
-FROM {{customer}} JOIN {{fx_person}} p ON p.person_id = {CIF} WHERE c_custkey % 30 = 6""",
+FROM {{customer}} JOIN {{fx_person}} p ON p.person_id = {CIF}""",
     }
 
 

@@ -10,8 +10,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 
+#: Cells of a matrix of code points; pairs are taken in order of length so that short ones are not padded to long ones.
+CELLS = 1 << 20
+
+
 def _build():
-    def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
+    def chunk(left: pd.Series, right: pd.Series) -> pd.Series:
         import numpy as np
 
         def matrix(texts):
@@ -55,7 +59,26 @@ def _build():
         same = (a[:, :head] == b[:, :head]) & (np.arange(head)[None, :] < np.minimum(a_len, b_len)[:, None])
         prefix = np.cumprod(same, axis=1).sum(axis=1)
         score = np.where(jaro > 0.7, jaro + 0.1 * prefix * (1.0 - jaro), jaro)
-        return pd.Series(np.where(known, score, np.nan)).astype("Float64")
+        return pd.Series(np.where(known, score, np.nan), index=left.index).astype("Float64")
+
+    def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
+        sizes = pd.concat([left.str.len(), right.str.len()], axis=1).max(axis=1).fillna(1).clip(lower=1)
+        order = sizes.sort_values(kind="stable")
+        parts, first = [], 0
+        while first < len(order):
+            # The longest text of a run comes last: take as many pairs as fit beside it.
+            last = first + 1
+            step = max(1, CELLS // int(order.iloc[first]))
+            while step and last < len(order):
+                end = min(len(order), last + step)
+                if (end - first) * int(order.iloc[end - 1]) <= CELLS:
+                    last = end
+                else:
+                    step //= 2
+            own = order.index[first:last]
+            parts.append(chunk(left.loc[own], right.loc[own]))
+            first = last
+        return pd.concat(parts).reindex(left.index) if parts else pd.Series([], dtype="Float64")
 
     return F.pandas_udf(jaro_winkler, "double")
 

@@ -8,14 +8,14 @@ and keeps it out of plans and event logs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-Tokenizer = Callable[[str, Column], Column]
+Tokenizer = Callable[[str | Column, Column], Column]
 
 _BLOCK = 64
 
@@ -25,11 +25,12 @@ def _pads(key: bytes) -> tuple[bytes, bytes]:
     return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
 
 
-def _prefixed(token_type: str, version: int, hex_digest: Column) -> Column:
-    return F.concat(F.lit(f"{token_type}_v{version}_"), hex_digest)
+def _prefixed(token_type: str | Column, version: int, hex_digest: Column) -> Column:
+    kind = F.lit(token_type) if isinstance(token_type, str) else token_type
+    return F.concat(kind, F.lit(f"_v{version}_"), hex_digest)
 
 
-def pii_token(token_type: str, value: Column, key: bytes, key_version: int = 1) -> Column:
+def pii_token(token_type: str | Column, value: Column, key: bytes, key_version: int = 1) -> Column:
     """HMAC-SHA256 (RFC 2104) written with ``sha2``; NULL stays NULL."""
     inner_pad, outer_pad = _pads(key)
     inner = F.sha2(F.concat(F.lit(inner_pad), F.encode(value, "UTF-8")), 256)
@@ -41,9 +42,9 @@ def native_tokenizer(key: bytes, key_version: int = 1) -> Tokenizer:
 
 
 def arrow_tokenizer(key_provider: Callable[[], bytes], key_version: int = 1) -> Tokenizer:
-    """Tokenizer that calls ``key_provider`` in the worker, once per batch of rows."""
+    """Tokenizer that calls ``key_provider`` in the worker, once per task."""
     @F.pandas_udf(StringType())
-    def digest(values: pd.Series) -> pd.Series:
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import hashlib as _hashlib
         import hmac as _hmac
 
@@ -56,6 +57,7 @@ def arrow_tokenizer(key_provider: Callable[[], bytes], key_version: int = 1) ->
             state.update(text.encode("utf-8"))
             return state.hexdigest()
 
-        return values.map(one)
+        for values in batches:
+            yield values.map(one)
 
     return lambda token_type, value: _prefixed(token_type, key_version, digest(value))

@@ -42,9 +42,9 @@ def _candidate(
 
 
 def exc_multi_cif(conflicts: DataFrame) -> DataFrame:
-    """One per conflicting anchor; ``conflicts`` from :func:`kinweave.operators.links.anchor_conflicts`."""
+    """One per CIF in conflict, so that its subject stays the same when another CIF joins the anchor."""
     return conflicts.select(*_candidate(
-        F.lit(MULTI_CIF), COREBANKING, F.array_join(F.array_sort("conflicting_cif_ids"), ","), F.lit(None),
+        F.lit(MULTI_CIF), COREBANKING, F.col("cif_id"), F.lit(None),
         F.concat(F.lit("cif_count="), F.col("cif_count").cast("string"))))
 
 
@@ -81,14 +81,16 @@ def exc_attribute_mismatch(survivors: DataFrame) -> DataFrame:
 def raise_exceptions(candidates: DataFrame, queue: DataFrame, run_date: dt.date) -> DataFrame:
     """Rows to append to the queue: candidates not open in it and not raised before under the same key.
 
-    Attribute mismatches of one customer share type and source id, so for them the open check compares the detail.
+    Attribute mismatches of one customer share type and source id, so for them the open check compares the detail. A
+    key contains its date, so only the queue rows of the run date can have it.
     """
     queue = fill_columns(queue, EXCEPTION)
     subject = F.concat_ws(
         "\u0001", "exception_type_code", "source_system", "source_id",
         F.when(F.col("exception_type_code").isin(CONTACT_MISMATCH, KYC_MISMATCH), F.col("detail"))).alias("subject")
-    is_open = queue.filter(F.col("status_code") == OPEN).select(subject).distinct()
-    raised_before = queue.filter(F.col("exception_key").isNotNull()).select("exception_key").distinct()
+    is_open = queue.filter(F.col("status_code") == OPEN).select(subject)
+    raised_before = queue.filter(
+        (F.col("detected_date") == F.lit(run_date)) & F.col("exception_key").isNotNull()).select("exception_key")
     keyed = candidates.select("*", subject, keys.exception_key(F.col("identity"), run_date).alias("exception_key"))
     fresh = skew.lookup(skew.lookup(keyed, is_open, "subject", "left_anti"), raised_before, "exception_key", "left_anti")
     return fill_columns(

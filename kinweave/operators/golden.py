@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
@@ -16,19 +17,21 @@ SNAPSHOT_COLUMNS = tuple(n for n in GOLDEN.names if n not in VERSION_COLUMNS)
 TRACKED = tuple(n for n in SNAPSHOT_COLUMNS if n != "customer_key")
 
 
-_HAS_VALUE = f"coalesce({', '.join(f'{a}.attribute_value' for a in ATTRIBUTES)}) IS NOT NULL"
-_SHOWN = f"core IS NOT NULL AND (is_conflict OR {_HAS_VALUE})"
+def _shown(attributes: Sequence[str]) -> str:
+    values = ", ".join(f"{a}.attribute_value" for a in attributes) or "CAST(NULL AS STRING)"
+    return f"core IS NOT NULL AND (is_conflict OR coalesce({values}) IS NOT NULL)"
 
 
-def _snapshot_row() -> list[str]:
-    """A conflicted customer shows key, CIF and token only, with score 0."""
+def _snapshot_row(attributes: Sequence[str]) -> list[str]:
+    """A conflicted customer shows key, CIF and token only, with score 0. An attribute without a rule is a typed NULL."""
     columns = {
         "customer_key": "customer_key",
         "primary_cif_id": "core.source_id",
         "emirates_id_token": "core.anchor_token",
         "idr_confidence_score": f"CAST(CASE WHEN is_conflict THEN 0 ELSE {CERTAIN} END AS {SCORE.simpleString()})",
         "idr_is_entity_conflict": "is_conflict",
-        **{a: f"CASE WHEN NOT is_conflict THEN {a}.attribute_value END" for a in ATTRIBUTES},
+        **{a: f"CASE WHEN NOT is_conflict THEN {a}.attribute_value END" if a in attributes else "CAST(NULL AS STRING)"
+           for a in ATTRIBUTES},
     }
     columns["date_of_birth"] = f"try_cast({columns['date_of_birth']} AS DATE)"
     return [f"{columns[name]} AS {name}" for name in SNAPSHOT_COLUMNS]
@@ -36,7 +39,8 @@ def _snapshot_row() -> list[str]:
 
 def golden_snapshot(survivors: DataFrame) -> DataFrame:
     """All customers with a current core link: a projection of the survivors, no further shuffle."""
-    return survivors.filter(_SHOWN).selectExpr(*_snapshot_row())
+    attributes = [a for a in ATTRIBUTES if a in survivors.columns]
+    return survivors.filter(_shown(attributes)).selectExpr(*_snapshot_row(attributes))
 
 
 def golden_customer(survivors: DataFrame) -> DataFrame:

@@ -1,16 +1,14 @@
 """Likely existing customers among leads: blocking, comparison, and Fellegi-Sunter scoring for review.
 
-A score suggests, it never merges. Candidate pairs come from equi-joins only. A block whose two sides would multiply
-beyond a bound is not expanded: it is returned as a block with its members, which says the same in linear space.
+A score suggests, it never merges. Candidate pairs come from equi-joins only, and all of them are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
-from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +27,6 @@ SUGGEST_LIMIT = 0.99
 REVIEW_LIMIT = 0.80
 SUGGESTED, REVIEW, NO_LINK = "SUGGESTED_LINK", "STEWARD_REVIEW", "NO_LINK"
 
-# A block with more pairs than this is reported as a block instead of being expanded.
-BLOCK_PAIRS = 1_000_000
 LEVEL_PATTERNS = 5 ** len(FIELDS)
 
 
@@ -60,50 +56,15 @@ def _keyed(people: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _large_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int) -> list[Row]:
-    """Blocks a leg must not expand: too many pairs, or many rows on one side and nobody on the other.
-
-    Runs one job, a combining count by key, and brings back ``skew.HOT_KEYS`` blocks at most, largest first. Any
-    beyond are expanded in full like ordinary ones.
-    """
-    def keys(side: DataFrame, lead: int) -> DataFrame:
-        legs = ", ".join(f"struct('{leg}' AS block, `{leg}` AS block_key)" for leg in LEGS)
-        return side.selectExpr(f"inline(array({legs}))").withColumn("is_lead", F.lit(lead))
-
-    counted = keys(leads, 1).unionByName(keys(persons, 0)).filter("block_key IS NOT NULL").groupBy(
-        "block", "block_key").agg(F.expr("sum(is_lead) AS lead_count"), F.expr("sum(1 - is_lead) AS person_count"))
-    return (
-        counted.withColumn("pair_count", F.expr("lead_count * person_count"))
-        .filter(f"pair_count > {block_pairs} "
-                f"OR (pair_count = 0 AND greatest(lead_count, person_count) >= {skew.HOT_ROWS})")
-        .orderBy(F.expr("pair_count + lead_count + person_count").desc(), "block", "block_key")
-        .take(skew.HOT_KEYS)
-    )
-
-
-_BLOCK = "block string, block_key string, lead_count long, person_count long, pair_count long"
-
-
-def _without(side: DataFrame, large: Sequence[Row]) -> DataFrame:
-    """Keys of large blocks set to NULL, by a broadcast of at most ``skew.HOT_KEYS`` rows."""
-    blocks = side.sparkSession.createDataFrame(large, _BLOCK)
-    for leg in sorted({row["block"] for row in large}):
-        named = blocks.filter(F.col("block") == leg).select(F.col("block_key").alias("_large"))
-        side = side.join(F.broadcast(named), F.col(leg) == F.col("_large"), "left").withColumn(
-            leg, F.when(F.col("_large").isNull(), F.col(leg))).drop("_large")
-    return side
-
-
-def lead_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def lead_blocks(leads: DataFrame, persons: DataFrame) -> DataFrame:
     """Candidate pairs: same mobile, or same e-mail, or same birth date and surname sound.
 
-    One equi-join per leg, after a look at block sizes. A pair is emitted by the first leg it agrees on, so no
-    duplicates need removing. Blocks beyond ``block_pairs`` are left to :func:`lead_block_members`; their pairs
-    still appear here if they agree on another leg.
+    One equi-join per leg, whose sides come straight from an exchange, so adaptive execution splits a hot key on both
+    sides. A pair is emitted by the first leg it agrees on, so no duplicates need removing. All pairs are returned, whatever
+    the size of a block; :func:`lead_block_members` says the same in linear space.
     """
-    left, right = _keyed(leads, "lead"), _keyed(persons, "person")
-    large = _large_blocks(left, right, block_pairs)
-    left, right = _without(left, large), _without(right, large)
+    left = _keyed(leads, "lead")
+    right = _keyed(persons, "person")
     right = right.select("person_id", "person", *[F.col(leg).alias(f"person_{leg}") for leg in LEGS])
     pairs = None
     for place, leg in enumerate(LEGS):
@@ -116,20 +77,19 @@ def lead_blocks(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_P
     return pairs
 
 
-def lead_block_members(leads: DataFrame, persons: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
-    """Blocks too large to expand, as (block, member) rows: each lead of a block is a candidate for each person of it."""
-    left, right = _keyed(leads, "lead"), _keyed(persons, "person")
-    large = [row for row in _large_blocks(left, right, block_pairs) if row["pair_count"]]
-    blocks = F.broadcast(left.sparkSession.createDataFrame(large, _BLOCK))
+def lead_block_members(leads: DataFrame, persons: DataFrame) -> DataFrame:
+    """Every block with leads and persons, as (block, member) rows: each lead of it is a candidate for each person of it."""
+    legs = ", ".join(f"struct('{leg}' AS block, `{leg}` AS block_key)" for leg in LEGS)
 
-    def members(side: DataFrame, name: str) -> DataFrame:
-        legs = ", ".join(f"struct('{leg}' AS block, `{leg}` AS block_key)" for leg in LEGS)
-        return (
-            side.selectExpr(f"{name}_id AS member_id", f"inline(array({legs}))").join(blocks, ["block", "block_key"])
-            .withColumn("side", F.lit(name))
-        )
+    def rows(side: DataFrame, name: str) -> DataFrame:
+        return _keyed(side, name).selectExpr(f"{name}_id AS member_id", f"'{name}' AS side", f"inline(array({legs}))")
 
-    return members(left, "lead").unionByName(members(right, "person"))
+    members = rows(leads, "lead").unionByName(rows(persons, "person")).filter("block_key IS NOT NULL")
+    members = members.withColumn("_block", F.concat_ws("\u0001", "block", "block_key"))
+    counted = members.groupBy("_block").agg(
+        F.count_if(F.col("side") == "lead").alias("lead_count"), F.count_if(F.col("side") == "person").alias("person_count"))
+    both = counted.withColumn("pair_count", F.col("lead_count") * F.col("person_count")).filter("pair_count > 0")
+    return skew.lookup(members, both, "_block", "inner").drop("_block")
 
 
 def lead_compare(pairs: DataFrame) -> DataFrame:
@@ -153,14 +113,14 @@ def random_pairs(leads: DataFrame, persons: DataFrame, partners: int = 20, seed:
     """About ``partners`` random persons for each lead.
 
     Both sides fall into as many hashed buckets as leave ``partners`` persons in each; equal buckets pair up. The
-    draw depends on ids and seed alone, so it repeats.
+    draw depends on ids and seed alone, by digits of a SHA-256 that any engine can repeat.
     """
     buckets = persons.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / partners))).scalar()
 
     def drawn(people: DataFrame, side: str) -> DataFrame:
         key = F.col(f"{side}_id")
-        return _keyed(people, side).select(
-            key, side, F.pmod(F.xxhash64(F.lit(side), F.lit(seed), key), buckets).alias("bucket"))
+        digits = F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.lit(side), key), 256), 1, 12)
+        return _keyed(people, side).select(key, side, F.pmod(F.conv(digits, 16, 10).cast("long"), buckets).alias("bucket"))
 
     return drawn(leads, "lead").join(drawn(persons, "person"), "bucket").drop("bucket")
 

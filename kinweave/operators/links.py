@@ -20,9 +20,6 @@ R2 = "R2_SF_EXTERNAL_ID"
 R3 = "R3_APP_USER_ID"
 CERTAIN = "1.0000"
 
-# An anchor shared by more CIFs than this is reported in several rows of about this many.
-REPORT_CIFS = 10_000
-
 
 def certain() -> Column:
     return F.lit(CERTAIN).cast(SCORE)
@@ -48,18 +45,9 @@ def conflicted_anchors(primary: DataFrame) -> DataFrame:
 
 
 def anchor_conflicts(primary: DataFrame) -> DataFrame:
-    """Conflicting CIFs per token, for the report.
-
-    A token shared by more than ``REPORT_CIFS`` CIFs takes several rows, each CIF in exactly one of them, since a
-    single array of them all would have no size bound; ``cif_count`` is the whole count in each.
-    """
-    members = skew.lookup(primary.select("cif_id", "anchor_token"), conflicted_anchors(primary), "anchor_token", "inner")
-    return (
-        members.withColumn("_row", F.expr(f"pmod(xxhash64(cif_id), ceil(cif_count / {REPORT_CIFS}))"))
-        .groupBy("anchor_token", "_row")
-        .agg(F.array_sort(F.collect_set("cif_id")).alias("conflicting_cif_ids"), F.max("cif_count").alias("cif_count"))
-        .drop("_row")
-    )
+    """A row for each CIF whose token other CIFs have as well, with the number of CIFs that share it."""
+    return skew.lookup(
+        primary.select("cif_id", "anchor_token"), conflicted_anchors(primary), "anchor_token", "inner")
 
 
 def anchored_links(primary: DataFrame, xref: DataFrame) -> DataFrame:

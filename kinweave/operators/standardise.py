@@ -28,8 +28,11 @@ def anchor_documents(party: DataFrame, document: DataFrame, tokenizer: Tokenizer
         document.filter(F.col("current_record_indicator") & F.col("doc_type_code").isin(text.EMIRATES_ID, text.PASSPORT)))
     number = F.col("doc_number_norm")
     is_eid = F.col("doc_type_code") == text.EMIRATES_ID
-    token = F.when(is_eid & number.rlike(text.EMIRATES_ID_FORMAT), tokenizer(EID_TOKEN, number)).when(
-        ~is_eid & number.isNotNull(), tokenizer(PASSPORT_TOKEN, F.concat("issuing_country_code", F.lit("|"), number)))
+    # One message a row, digested once: a CASE around two digests would not keep Python from computing both.
+    message = F.when(is_eid & number.rlike(text.EMIRATES_ID_FORMAT), number).when(
+        ~is_eid, F.concat("issuing_country_code", F.lit("|"), number))
+    documents = documents.withColumn("_message", message)
+    token = tokenizer(F.when(is_eid, EID_TOKEN).otherwise(PASSPORT_TOKEN), F.col("_message"))
     tokenised = documents.select("party_key", "doc_type_code", token.alias("anchor_token"), "is_verified", "expiry_date")
     return parties.join(tokenised, "party_key").select(
         "cif_id", "party_key", "doc_type_code", "anchor_token", "is_verified", "expiry_date")

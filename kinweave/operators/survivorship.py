@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kinweave.functions import ordering, text
 from kinweave.operators import skew
 from kinweave.schemas import COREBANKING, SALESFORCE
-from kinweave.sources.rules import DEFAULT_RULES, VERIFIED_RECENCY, Rule, rules_table
+from kinweave.sources.rules import DEFAULT_RULES, VERIFIED_RECENCY, Rule, check_rules, rules_table
 
 CORE_ATTRIBUTES = ("full_name", "date_of_birth", "nationality_code", "gender_code", "language_code")
 SF_ATTRIBUTES = ("full_name", "date_of_birth", "language_code", "marketing_channel_code")
@@ -82,13 +82,12 @@ def link_markers(xref: DataFrame, primary: DataFrame) -> DataFrame:
     Emirates ID token and whether it conflicts."""
     tokens = primary.filter(F.col("doc_type_code") == text.EMIRATES_ID).select(
         F.col("cif_id").alias("source_id"), "anchor_token")
-    is_core = F.col("source_system") == COREBANKING
-    return xref.filter("current_record_indicator").join(tokens, "source_id", "left").select(
-        "customer_key",
-        (~F.col("is_quarantined")).alias("is_linked"),
-        F.when(is_core, F.struct("source_id", "anchor_token")).alias("core"),
-        (is_core & F.col("is_quarantined")).alias("is_conflict"),
-    )
+    current = xref.filter("current_record_indicator")
+    clean = (~F.col("is_quarantined")).alias("is_linked")
+    core = current.filter(F.col("source_system") == COREBANKING).join(tokens, "source_id", "left").select(
+        "customer_key", clean, F.struct("source_id", "anchor_token").alias("core"), F.col("is_quarantined").alias("is_conflict"))
+    others = current.filter(F.col("source_system") != COREBANKING).select("customer_key", clean)
+    return core.unionByName(others, allowMissingColumns=True)
 
 
 def survivorship_fragments(
@@ -126,7 +125,7 @@ def candidates_sf(account: DataFrame, xref: DataFrame) -> DataFrame:
 def candidates_contact(contact_norm: DataFrame, xref: DataFrame) -> DataFrame:
     """Contact points of customers that have a link out of quarantine."""
     points = skew.lookup(
-        _contact_points(contact_norm), clean_links(xref).select("customer_key").distinct(), "customer_key", "left_semi")
+        _contact_points(contact_norm), clean_links(xref).select("customer_key"), "customer_key", "left_semi")
     return points.select(
         "customer_key", "source_system", "source_record_id",
         F.concat(F.lit("primary_"), F.lower("_kind")).alias("attribute_name"),
@@ -183,7 +182,9 @@ def surviving_values(fragments: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES
     and ``is_conflict`` sum up the link markers; customers without any current link are left out.
     """
     by_attribute: dict[str, list[Rule]] = {}
-    for rule in rules:
+    for rule in check_rules(rules):
+        if rule.attribute_name not in ATTRIBUTES:
+            raise ValueError(f"a rule names the unknown attribute {rule.attribute_name!r}")
         by_attribute.setdefault(rule.attribute_name, []).append(rule)
     attributes = [a for a in fragments.columns if a in by_attribute]
 

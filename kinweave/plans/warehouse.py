@@ -8,6 +8,7 @@ and writes its own, so repeating a date starts from the same state.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,9 +16,11 @@ from pyspark.sql import types as T
 from kinweave.functions.tokens import Tokenizer
 from kinweave.operators.golden import SNAPSHOT_COLUMNS
 from kinweave.operators.history import XREF_KEYS
-from kinweave.operators.quality import dq_not_null, dq_relationships, dq_unique, require_clean
+from kinweave.operators.links import R1_EID, R1_PASSPORT, R2, R3
+from kinweave.operators.quality import dq_accepted_values, dq_not_null, dq_relationships, dq_unique, require_clean
 from kinweave.plans.daily import DailyRun, Inputs
 from kinweave.schemas import BRIDGE, EXCEPTION, GOLDEN, XREF, conform_schema
+from kinweave.sources.rules import DEFAULT_RULES, Rule
 from kinweave.sources.tables import append, read_table, run_path, write_partitions, write_version, written
 
 STATE = {"xref": XREF, "bridge": BRIDGE, "dim_customer": GOLDEN, "gold": GOLDEN}
@@ -49,13 +52,20 @@ def _checks(run: DailyRun) -> None:
     require_clean(dq_not_null(current, ["customer_key", "match_rule_code", "valid_from_ts"]), "complete links")
     require_clean(dq_unique(golden, ["customer_key"]), "one current golden record per customer")
     require_clean(dq_relationships(golden, run.xref, ["customer_key"]), "every golden record has a link")
+    require_clean(dq_unique(run.bridge, ["customer_key", "device_key"]), "one row per customer and device")
+    require_clean(dq_unique(run.gold, ["customer_key", "valid_from_ts"]), "one gold row per version")
+    require_clean(dq_not_null(
+        run.new_exceptions, ["exception_key", "exception_type_code", "source_id"]), "complete exceptions")
+    require_clean(dq_accepted_values(
+        run.xref, "match_rule_code", [R1_EID, R1_PASSPORT, R2, R3]), "known match rules")
 
 
 def run_day(
     spark: SparkSession, root: str, run_date: dt.date, previous: dt.date | None, tokenizer: Tokenizer,
+    rules: Sequence[Rule] = DEFAULT_RULES,
 ) -> DailyRun:
-    """Resolves one date. Nothing is published unless the quality checks pass; events and queue come last."""
-    run = DailyRun(open_inputs(spark, root, previous), run_date, tokenizer, keep=written(spark))
+    """Resolves one date under the given survivorship rules. Nothing is published unless the quality checks pass."""
+    run = DailyRun(open_inputs(spark, root, previous), run_date, tokenizer, rules, keep=written(spark))
     _checks(run)
     state = f"{root}/state"
     write_version(run.xref, state, "xref", run_date, partition_by=["current_record_indicator"])

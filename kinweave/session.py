@@ -27,8 +27,6 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return folder.rstrip("/")

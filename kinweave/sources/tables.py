@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
-import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,20 +73,13 @@ def merge_versions(changed: DataFrame, table: str, keys: Sequence[str], update:
     )
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets a temporary folder."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kinweave-"))
-    return shared_folder(spark)
-
-
 def written(spark: SparkSession, steps: Sequence[str] | None = None) -> Callable[[str, DataFrame], DataFrame]:
     """A ``keep`` for :class:`kinweave.plans.daily.DailyRun`: cuts lineage with a table in the shared folder.
 
     Written once, read by any executor, and still there when one is lost. ``steps`` names the steps worth writing
     when only part of a run is wanted; all of them by default.
     """
-    folder = f"{scratch_folder(spark)}/kinweave/{spark.sparkContext.applicationId}/{next(_runs)}"
+    folder = f"{shared_folder(spark)}/kinweave/{spark.sparkContext.applicationId}/{next(_runs)}"
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if steps is not None and name not in steps:

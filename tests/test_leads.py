@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.operators import leads, skew
+from kinweave.operators import leads
 
 PERSON = "person_id string, first_name string, last_name string, date_of_birth date, email string, mobile string"
 
@@ -45,32 +45,25 @@ def test_blocks_equal_brute_force(people):
     found = [(r["lead_id"], r["person_id"]) for r in leads.lead_blocks(*people).collect()]
     assert len(found) == len(set(found))
     assert set(found) == set().union(*expected.values())
-    assert leads.lead_block_members(*people).isEmpty()
 
 
-def test_large_blocks_are_kept_whole_as_members(people):
+def test_members_say_the_same_as_the_pairs(people):
     expected = brute_force(*people)
-    bound = 100
-    found = {(r["lead_id"], r["person_id"]) for r in leads.lead_blocks(*people, bound).collect()}
     blocks = {}
-    for r in leads.lead_block_members(*people, bound).collect():
+    for r in leads.lead_block_members(*people).collect():
         blocks.setdefault((r["block"], r["block_key"]), {"lead": set(), "person": set()})[r["side"]].add(r["member_id"])
-        assert r["pair_count"] == r["lead_count"] * r["person_count"] > bound
-    assert ("mobile", "hot") in blocks
-    listed = {(a, b) for sides in blocks.values() for a in sides["lead"] for b in sides["person"]}
-    assert found | listed == set().union(*expected.values())
-    # A pair in the large block still appears on its own if it agrees on another leg.
-    assert found & listed
-
-
-def test_key_of_one_side_only_is_set_aside(people, spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 10)
-    left, right = people
-    lonely = right.withColumn("mobile", F.lit(None).cast("string"))
-    found = {(r["lead_id"], r["person_id"]) for r in leads.lead_blocks(left, lonely).collect()}
-    expected = brute_force(left, lonely)
-    assert found == set().union(*expected.values())
-    assert leads.lead_block_members(left, lonely).filter("block_key = 'hot'").isEmpty()
+        assert r["pair_count"] == r["lead_count"] * r["person_count"] > 0
+    for leg, pairs in expected.items():
+        assert pairs == {
+            (a, b) for (block, _), sides in blocks.items() if block == leg for a in sides["lead"] for b in sides["person"]}
+
+
+def test_no_block_is_too_large(spark):
+    shared = [spark.range(1001).selectExpr(
+        f"concat('{side}', id) AS person_id", "'Amina' AS first_name", f"concat('N', id, '{side}') AS last_name",
+        "CAST(NULL AS DATE) AS date_of_birth", "CAST(NULL AS STRING) AS email", "'+971501234567' AS mobile") for side in "LP"]
+    pairs = leads.lead_blocks(*shared)
+    assert pairs.count() == 1001 * 1001 == pairs.select("lead_id", "person_id").distinct().count()
 
 
 def pair(spark, first=("Amina", "Amina"), last=("Rahman", "Rahman"), born=("1990-01-01",) * 2, mail=(None, None),

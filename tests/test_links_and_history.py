@@ -90,18 +90,18 @@ def test_collapse_to_one_link_per_record(spark):
     assert got == {"A": ("K1", True), "B": ("K1", False)}
 
 
-def test_conflict_report_keeps_every_cif_however_many(spark, monkeypatch):
-    monkeypatch.setattr(links, "REPORT_CIFS", 10)
-    primary = spark.range(107).selectExpr(
-        "concat('C', id) AS cif_id", "CASE WHEN id < 100 THEN 'hot' WHEN id < 103 THEN 'three' ELSE concat('t', id) END "
-        "AS anchor_token")
-    report = links.anchor_conflicts(primary).collect()
-    hot = [r for r in report if r["anchor_token"] == "hot"]
-    assert len(hot) > 1 and {r["cif_count"] for r in hot} == {100}
-    named = [c for r in hot for c in r["conflicting_cif_ids"]]
-    assert sorted(named) == sorted(f"C{i}" for i in range(100))
-    assert [r["conflicting_cif_ids"] for r in report if r["anchor_token"] == "three"] == [["C100", "C101", "C102"]]
-    assert len({r["anchor_token"] for r in report}) == 2
+def test_conflicts_have_one_shape_at_any_size(spark):
+    for n in (3, 10_000, 20_000):
+        def keys(count):
+            primary = spark.range(count + 1).selectExpr(
+                "concat('C', id) AS cif_id", f"CASE WHEN id < {count} THEN 'shared' ELSE 'own' END AS anchor_token")
+            report = links.anchor_conflicts(primary)
+            raised = exceptions.raise_exceptions(exceptions.exc_multi_cif(report), spark.createDataFrame([], EXCEPTION), D1)
+            return {r["exception_key"] for r in raised.collect()}, report
+        before, report = keys(n)
+        after, _ = keys(n + 1)
+        assert len(before) == n and len(after - before) == 1 and before < after
+        assert report.filter(f"cif_count <> {n} OR anchor_token <> 'shared'").isEmpty()
 
 
 def test_link_history(spark, rows):

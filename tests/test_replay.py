@@ -89,6 +89,5 @@ def test_three_days_and_a_rerun(spark, case, warehouse):
 
 def test_shared_folder_comes_from_the_session(spark):
     from kinweave.session import shared_folder
-    from kinweave.sources.tables import scratch_folder
 
-    assert scratch_folder(spark) == shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions import keys, masks, text, tokens
 from kinweave.functions.similarity import jaro_winkler
+from kinweave.operators import standardise
 
 KEY = b"fixture-key"
 EID_HEX = "9dbd19c8161b3f6ec64407a07c3797164080eb6f22ce24dbb5dcacb32250b73e"
@@ -104,3 +105,29 @@ def test_jaro_winkler_like_duckdb(spark, duck):
             assert row["s"] is None
         else:
             assert row["s"] == pytest.approx(expected, abs=1e-9), (row["a"], row["b"])
+
+
+def test_similarity_with_one_very_long_text(spark):
+    """A long text does not widen the work on the others, and results do not depend on the company."""
+    rows = [(f"name{i % 7}", f"nmae{i % 5}") for i in range(3_000)]
+    rows += [("a" * 20_000, "a" * 19_999 + "b"), (None, "x"), ("", "x"), ("محمد", "محمود"), ("José", "Jose")]
+    table = spark.createDataFrame(rows, "a string, b string").repartition(1)
+    got = {(r["a"], r["b"]): r["s"] for r in table.withColumn("s", jaro_winkler(F.col("a"), F.col("b"))).collect()}
+    assert got[None, "x"] is None and got["", "x"] == 0 and got[rows[3_000]] > 0.99
+    # Known answers: 4 of 4 and 5 letters match in order, prefix 3; 3 of 4 and 4, prefix 3.
+    jaro = (4 / 4 + 4 / 5 + 1) / 3
+    assert got["محمد", "محمود"] == pytest.approx(jaro + 0.3 * (1 - jaro))
+    jaro = (3 / 4 + 3 / 4 + 1) / 3
+    assert got["José", "Jose"] == pytest.approx(jaro + 0.3 * (1 - jaro))
+
+
+def test_a_document_is_digested_once(spark):
+    party = spark.createDataFrame([("C1", "P1", True)], "cif_id string, party_key string, current_record_indicator boolean")
+    document = spark.createDataFrame(
+        [("P1", "PASSPORT", "AE", "x1", None, True, True)],
+        "party_key string, doc_type_code string, issuing_country_code string, doc_number string, expiry_date date, "
+        "is_verified boolean, current_record_indicator boolean")
+    anchors = standardise.anchor_documents(party, document, tokens.arrow_tokenizer(lambda: b"k"))
+    plan = anchors._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("digest(") == 1
+    assert anchors.first()["anchor_token"].startswith("PPT_v1_")

@@ -192,3 +192,22 @@ def test_conform_schema(spark):
     assert conform_schema(fits).columns == GOLDEN.names and schema_violations(fits).isEmpty()
     missing = fits.selectExpr("* EXCEPT (customer_key)", "CAST(NULL AS STRING) AS customer_key")
     assert "customer_key: missing" in schema_violations(missing).first()["violations"]
+
+
+def test_rule_sets_other_than_the_default(case):
+    """A rule removed, added and reprioritised; an unknown attribute is refused."""
+    fragments = case.run.fragments
+
+    def snapshot(rules):
+        survivors = survivorship.surviving_values(fragments, rules)
+        return {r["customer_key"]: r.asDict() for r in golden.golden_snapshot(survivors).collect()}
+
+    before = snapshot(DEFAULT_RULES)
+    without = snapshot([r for r in DEFAULT_RULES if r.attribute_name != "gender_code"])
+    assert without == {k: v | {"gender_code": None} for k, v in before.items()}
+    flipped = [r._replace(source_priority=3 - r.source_priority) if r.attribute_name == "full_name" else r for r in DEFAULT_RULES]
+    assert any(after["full_name"] != before[k]["full_name"] for k, after in snapshot(flipped).items())
+    added = [*DEFAULT_RULES, Rule("nationality_code", "IDENTITY_KYC", "SALESFORCE", 2, "PRIORITY")]
+    assert snapshot(added) == before
+    with pytest.raises(ValueError, match="unknown attribute"):
+        snapshot([*DEFAULT_RULES, Rule("shoe_size", "IDENTITY_KYC", "SALESFORCE", 1, "PRIORITY")])
