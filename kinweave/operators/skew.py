@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 # A hot group is ranked in at most about this many pieces.
 PIECES = 1_000
-# Size bound of tables of hot keys that are broadcast.
-HOT_KEYS = 2_000
 # Rows with no key spread over this many values.
 SPREAD = 4_096
 
@@ -52,14 +50,8 @@ def _split_points(keyed: DataFrame) -> DataFrame:
     )
 
 
-def has_hot_group(df: DataFrame, group: Sequence[str]) -> bool:
-    """Whether any group has ``2 * HOT_ROWS`` rows or more. Runs a job: one combining count by group."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    return not sizes.filter(F.col("_size") >= 2 * HOT_ROWS).isEmpty()
-
-
 def rank_in_pieces(df: DataFrame, group: Sequence[str], order: Column, rank: str) -> DataFrame:
-    """``row_number`` within a group by ascending ``order``, for data with hot groups.
+    """``row_number`` within a group by ascending ``order``, whatever the size of the group.
 
     A hot group is cut at sort-key values into pieces; a row's rank is its place in its piece plus the rows of the
     pieces before it, so no task holds the whole group.
@@ -69,13 +61,13 @@ def rank_in_pieces(df: DataFrame, group: Sequence[str], order: Column, rank: str
     pieces = (
         lookup(keyed, _split_points(keyed), "_group")
         .withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(before_row)))
-        .drop("_cuts")
+        .withColumn("_cut", F.col("_cuts").isNotNull()).drop("_cuts")
     )
     within = Window.partitionBy("_group", "_piece").orderBy("_sort")
     placed = pieces.withColumn("_place", F.row_number().over(within))
 
     # Only cut groups have more than one piece, and those have few: offsets are a small table.
-    sizes = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = pieces.filter("_cut").groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sizes.withColumn("_before", F.sum("_rows").over(before)).filter(F.col("_piece") > 0)
@@ -84,5 +76,5 @@ def rank_in_pieces(df: DataFrame, group: Sequence[str], order: Column, rank: str
     return (
         placed.join(offsets, (F.col("_group") == F.col("_g")) & (F.col("_piece") == F.col("_p")), "left")
         .withColumn(rank, F.col("_place") + F.coalesce("_before", F.lit(0)))
-        .drop("_sort", "_group", "_piece", "_place", "_g", "_p", "_before")
+        .drop("_sort", "_group", "_piece", "_cut", "_place", "_g", "_p", "_before")
     )
