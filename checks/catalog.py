@@ -229,6 +229,9 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "dq_accepted_values": lambda c: quality.dq_accepted_values(
         c.run.contact_norm, "contact_type_code", ["EMAIL", "MOBILE"]),
     "conform_schema": lambda c: _versions(conform_schema(c.dim_new)),
+    "lead_rows": lambda c: leads.lead_rows(c.fx.fx_sf_account, c.run.contact_norm),
+    "person_rows": lambda c: leads.person_rows(c.run.snapshot),
+    "lead_candidates": lambda c: c.run.lead_candidates.select("lead_id", "person_id", "block"),
     "lead_blocks": lambda c: c.pairs.select("lead_id", "person_id", "block"),
     "lead_block_members": lambda c: leads.lead_block_members(c.fx.fx_lead, c.fx.fx_person),
     "lead_compare": lambda c: leads.lead_compare(c.pairs),

@@ -8,13 +8,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.functions import text
 from kinweave.functions.similarity import jaro_winkler
-from kinweave.operators import skew
+from kinweave.operators import links, skew
+from kinweave.schemas import SALESFORCE
 
 FIELDS = ("first_name", "last_name", "date_of_birth", "email", "mobile")
 LEGS = ("mobile", "email", "birth_name")
@@ -43,6 +44,33 @@ def level_columns() -> list[str]:
     return [f"{f}_level" for f in FIELDS]
 
 
+def lead_rows(account: DataFrame, contact_norm: DataFrame) -> DataFrame:
+    """Rows to match for CRM accounts without a CIF, with the normal forms of their live contact points.
+
+    Of several contact points of a kind the primary one counts, then the lowest value.
+    """
+    def best(kind: str) -> Column:
+        order = F.struct((~F.col("is_primary")).alias("later"), "contact_value_norm")
+        return F.min(F.when((F.col("contact_type_code") == kind) & F.col("contact_value_norm").isNotNull(), order)).getField(
+            "contact_value_norm")
+
+    live = contact_norm.filter((F.col("source_system") == SALESFORCE) & ~F.col("is_deleted"))
+    contacts = live.groupBy(F.col("source_id").alias("person_id")).agg(
+        best(text.EMAIL).alias("email"), best(text.MOBILE).alias("mobile"))
+    named = links.route_leads(account).select(
+        F.col("salesforce_account_id").alias("person_id"), "first_name", "last_name", F.col("birthdate").alias("date_of_birth"))
+    return skew.lookup(named, contacts, "person_id").select("person_id", *FIELDS)
+
+
+def person_rows(snapshot: DataFrame) -> DataFrame:
+    """Rows to match for golden records without a conflict: the first word of the name, and the rest."""
+    name = F.trim("full_name")
+    return snapshot.filter(~F.col("idr_is_entity_conflict")).select(
+        F.col("customer_key").alias("person_id"), F.substring_index(name, " ", 1).alias("first_name"),
+        text.blank_to_null(F.regexp_replace(name, r"^\S+\s*", "")).alias("last_name"), "date_of_birth",
+        F.col("primary_email").alias("email"), F.col("primary_mobile").alias("mobile"))
+
+
 def _keyed(people: DataFrame, side: str) -> DataFrame:
     """One row per person: id, compared fields as a struct, and a key per leg; blank keys are NULL."""
     surname = text.blank_to_null(F.col("last_name"))

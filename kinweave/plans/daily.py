@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from kinweave.functions.tokens import Tokenizer
 from kinweave.operators import (
-    devices, exceptions, gold, golden, history, links, standardise, survivorship,
+    devices, exceptions, gold, golden, history, leads, links, standardise, survivorship,
 )
 from kinweave.schemas import LINK
 from kinweave.sources.rules import DEFAULT_RULES, Rule
@@ -127,6 +127,12 @@ class DailyRun:
     def dim_customer(self) -> DataFrame:
         return self.keep("dim_customer", golden.golden_history(self.snapshot, self.inputs.dim_customer(), self.run_date))
 
+    @cached_property
+    def lead_candidates(self) -> DataFrame:
+        """Pairs of a lead and a customer worth comparing, for the review of leads."""
+        return leads.lead_blocks(
+            leads.lead_rows(self.inputs.account(), self.contact_norm), leads.person_rows(self.snapshot))
+
     @cached_property
     def exception_candidates(self) -> DataFrame:
         return reduce(DataFrame.unionByName, (
