@@ -22,8 +22,8 @@ SIMILAR_PERCENT = 85
 LEAST_WORDS = 5
 #: Words are counted in so many classes by hash: a table of fixed size, whatever the vocabulary.
 RARITY_CLASSES = 1 << 15
-#: Ids up to this number are sent to every task; more are joined by a shuffle.
-BROADCAST_IDS = 200_000
+#: Documents up to this number are sent to every task, with the numbers of lines to compare; more join by a shuffle.
+BROADCAST_DOCUMENTS = 200_000
 
 _SPACES = r"[\x20\x09-\x0D]+"
 
@@ -32,38 +32,41 @@ def _words(line: Column) -> Column:
     return F.split(F.lower(line), _SPACES)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``_id, line_no, tokens`` of lines with enough distinct words; tokens are hashes of the words."""
-    lines = docs.select("_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "_line"))
-    hashed = F.transform(F.array_remove(_words(F.col("_line")), ""), lambda w: F.xxhash64(w))
-    return lines.select("_id", "line_no", F.array_distinct(hashed).alias("tokens")).filter(F.size("tokens") >= LEAST_WORDS)
+def _tokens(line: Column) -> Column:
+    """Distinct hashes of the words of a line."""
+    return F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
 
 
 def rarity(docs: DataFrame) -> bytes:
-    """For each class of words a byte that grows with the logarithm of how often they occur in all texts."""
+    """For each class of words a byte below 128 that grows with the logarithm of how often they occur in all texts."""
     words = docs.select(F.explode(_words(F.col("_text"))).alias("_w"))
     counted = words.groupBy(F.pmod(F.xxhash64("_w"), F.lit(RARITY_CLASSES)).alias("class")).agg(F.count(F.lit(1)).alias("n"))
     table = bytearray(RARITY_CLASSES)
     for row in counted.collect():
-        table[row["class"]] = min(255, round(8 * math.log2(row["n"] + 1)))
+        table[row["class"]] = min(127, round(3 * math.log2(row["n"] + 1)))
     return bytes(table)
 
 
 def line_sets(docs: DataFrame, classes: bytes) -> DataFrame:
     """For each line its set key, size, parity signature, least and greatest token, and prefix of rarest tokens."""
-    n = F.size("tokens")
+    lines = docs.select("_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "_line"))
+    lines = lines.select("_id", "line_no", _tokens(F.col("_line")).alias("tokens")).filter(F.size("tokens") >= LEAST_WORDS)
+    # Rarity above, hash below in one number: sorted, these are the words from the rarest on, and name the set.
     table = F.lit(classes)
-    ranked = F.sort_array(F.transform("tokens", lambda t: F.struct(
-        F.substring(table, (F.pmod(t, F.lit(RARITY_CLASSES)) + 1).cast("int"), F.lit(1)).alias("n"), t.alias("t"))))
+    ranks = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.ascii(F.substring(
+        table, (F.pmod(t, F.lit(RARITY_CLASSES)) + 1).cast("int"), F.lit(1)).cast("string")).cast("long"), 56).bitwiseOR(
+        F.shiftrightunsigned(t, 8))))
     one = F.lit(1).cast("long")
     parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(
         F.call_function("shiftleft", one, F.pmod(F.shiftright(t, 20), F.lit(64)).cast("int"))))
-    prefix = F.slice(ranked, F.lit(1), n - F.ceil(n * SIMILAR_PERCENT / 100).cast("int") + 1)
-    return _lines(docs).withColumn("tokens", F.sort_array("tokens")).select(
-        "_id", "line_no", F.xxhash64("tokens").alias("key1"), F.xxhash64(F.lit(1), F.col("tokens")).alias("key2"),
-        n.alias("n"), parity.alias("bits"), F.array_min("tokens").alias("least"), F.array_max("tokens").alias("greatest"),
-        F.transform(prefix, lambda r: F.pmod(r["t"], F.lit((1 << 31) - 1)).cast("int"))
-        .alias("prefix"))
+    ranked = lines.select(
+        "_id", "line_no", F.size("tokens").alias("n"), parity.alias("bits"), F.array_min("tokens").alias("least"),
+        F.array_max("tokens").alias("greatest"), ranks.alias("ranks"))
+    n = F.col("n")
+    prefix = F.slice("ranks", F.lit(1), n - F.ceil(n * SIMILAR_PERCENT / 100).cast("int") + 1)
+    return ranked.select(
+        "_id", "line_no", F.xxhash64("ranks").alias("key1"), F.xxhash64(F.lit(1), F.col("ranks")).alias("key2"), "n", "bits",
+        "least", "greatest", F.transform(prefix, lambda r: F.pmod(r, F.lit((1 << 31) - 1)).cast("int")).alias("prefix"))
 
 
 def _may_match(n: Column, m: Column, bits: Column, other_bits: Column) -> Column:
@@ -106,14 +109,15 @@ def _prefix_pairs(sets: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``_id, line_no`` of the lines in ``pairs`` whose full set is similar enough to that of their partner."""
-    wanted = stored(
-        pairs.select(F.col("a_id").alias("_w"), F.col("a_line").alias("_l"))
-        .union(pairs.select("b_id", "b_line")).distinct(), "line-wanted")
-    ids = wanted.select("_w").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    lines = _lines(docs.join(ids, F.col("_id") == F.col("_w"), "left_semi"))
-    found = lines.join(wanted, (F.col("_id") == F.col("_w")) & (F.col("line_no") == F.col("_l")), "left_semi")
+    wanted = pairs.select(F.col("a_id").alias("_w"), F.col("a_line").alias("_l")).union(pairs.select("b_id", "b_line"))
+    wanted = stored(wanted.groupBy("_w").agg(F.collect_set("_l").alias("_ls")), "line-wanted")
+    asked = F.broadcast(wanted) if wanted.count() <= BROADCAST_DOCUMENTS else wanted
+    lines = F.split("_text", "\n")
+    numbered = F.transform(lines, lambda line, i: F.struct(i.alias("line_no"), line.alias("line")))
+    named = F.transform(
+        F.filter(numbered, lambda x: F.array_contains("_ls", x["line_no"])),
+        lambda x: F.struct(x["line_no"].alias("line_no"), _tokens(x["line"]).alias("tokens")))
+    found = docs.join(asked, F.col("_id") == F.col("_w")).select("_id", F.inline(named))
     tokens = stored(found.dropDuplicates(["_id", "line_no"]), "line-tokens")
     a, b = (tokens.toDF(f"_{s}", f"_{s}l", f"{s}_tokens") for s in ("a", "b"))
     both = pairs.join(a, (F.col("a_id") == F.col("_a")) & (F.col("a_line") == F.col("_al"))).join(
