@@ -18,7 +18,7 @@ import numpy as np
 #: Texts are encoded in batches of about this many characters; a longer text is cut at safe places.
 BATCH_CHARS = 1 << 21
 #: Units a Python worker remembers before it starts afresh.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 #: Units joined into one string for the tokenizer, and strings in one call.
 JOINED, CALL_TEXTS = 500, 64
 
