@@ -151,21 +151,21 @@ def _homes(met: DataFrame) -> DataFrame:
     return own.unionByName(pivots).withColumn("excess", excess)
 
 
-def _home_links(homes: DataFrame) -> DataFrame:
-    """Classes linked with the one of least excess in their home: whoever is linked without sharing a difference is."""
+def _with_stars(homes: DataFrame) -> DataFrame:
+    """``homes`` with ``label``: the class of least excess if linked with it, as all are that are linked without sharing
+    a difference; else the class itself."""
     least = homes.groupBy("home").agg(F.min(F.struct("excess", "class_id")).alias("_l")).select(
-        F.col("home").cast("string").alias("_home"), F.col("_l.excess").alias("_least"), F.col("_l.class_id").alias("b"))
-    found = lookup(homes.drop("differing").withColumn("_home", F.col("home").cast("string")), least, "_home", "inner")
-    return found.filter((F.col("class_id") != F.col("b")) & (F.col("excess") + F.col("_least") <= 0)).select(
-        F.col("class_id").alias("a"), "b")
+        F.col("home").cast("string").alias("_home"), F.col("_l.excess").alias("_least"), F.col("_l.class_id").alias("_star"))
+    found = lookup(homes.withColumn("_home", F.col("home").cast("string")), least, "_home", "inner")
+    label = F.when(F.col("excess") + F.col("_least") <= 0, F.col("_star")).otherwise(F.col("class_id"))
+    return found.withColumn("label", label).drop("_home", "_least", "_star")
 
 
-def _difference_links(homes: DataFrame, labels: DataFrame) -> DataFrame:
+def _difference_links(named: DataFrame) -> DataFrame:
     """Links of classes of one home that share differences from it, found and confirmed on the differences alone.
 
     The common part of a family cancels out, so its variants meet only where they depart from it alike.
     """
-    named = stored(_labelled(homes, labels), "minhash-homes")
     rows = named.select(
         "home", "class_id", "n", "excess", "label", F.size("differing").alias("size"),
         F.posexplode("differing").alias("place", "element"))
@@ -243,10 +243,9 @@ def _connect(members: DataFrame, sets: DataFrame) -> DataFrame:
     met = stored(compared(pairs, sets), "minhash-compared")
     differing = F.size("only_a") + F.size("only_b")
     links = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
-    homes = stored(_homes(met), "minhash-homes")
-    links = links.union(_home_links(homes))
-    labels = components(links)
-    links = stored(links.union(_difference_links(homes, labels)), "minhash-links")
+    homes = stored(_with_stars(_homes(met)), "minhash-homes")
+    stars = homes.filter(F.col("class_id") != F.col("label")).select(F.col("class_id").alias("a"), F.col("label").alias("b"))
+    links = stored(links.union(stars).union(_difference_links(homes)), "minhash-links")
     labels = components(links)
 
     # What is left are pairs of different homes, met by more and more pivots of their buckets.
@@ -274,8 +273,10 @@ def _connect(members: DataFrame, sets: DataFrame) -> DataFrame:
         tested = tested.unionByName(pairs)
         met = compared(pairs, sets)
         new = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
-        links = stored(links.union(new), "minhash-links")
-        labels = components(links)
+        new = stored(new, "minhash-links")
+        if not new.isEmpty():
+            links = links.union(new)
+            labels = components(links)
         # A pivot has met all of its bucket and leaves it.
         seen = pivots.select(F.col("bucket").alias("_b"), F.col("_p.class_id").alias("_c"))
         members = members.join(seen, (F.col("bucket") == F.col("_b")) & (F.col("class_id") == F.col("_c")), "left_anti")
