@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 # A hot group is ranked in at most about this many pieces.
 PIECES = 1_000
-# Size bound of tables of hot keys that are broadcast.
-HOT_KEYS = 2_000
 # Rows with no key spread over this many values.
 SPREAD = 4_096
 
