@@ -2,7 +2,8 @@
 
 A line is the set of its words. Words are ordered by rarity in the whole corpus, and two similar sets share one of their
 rarest words: only lines that meet on a word of their prefixes are compared, if their lengths, the places of the word
-and a parity signature of the sets allow the similarity, and then on the full sets. Lines with equal sets are one first.
+and a parity signature of the sets allow the similarity, and then on the full sets. Lines with equal sets are one first;
+of short lines that is all, as no others are similar enough.
 Before the join each line is compared with the first of those that share its least or greatest hash, which settles
 large families of variants without pairing them. DataFrame functions only.
 """
@@ -18,8 +19,10 @@ from kinweave.llm.scratch import stored
 
 #: Lines with at least this part of their united words in common are near equal.
 SIMILAR_PERCENT = 85
-#: Lines with fewer distinct words are never removed.
-LEAST_WORDS = 5
+#: Lines with fewer distinct words are never removed: only those without any.
+LEAST_WORDS = 1
+#: Lines with fewer distinct words nearly equal none but those of equal sets: one word more or less is too much.
+LEAST_NEAR_WORDS = -(-SIMILAR_PERCENT // (100 - SIMILAR_PERCENT))
 #: Words are counted in so many classes by hash: a table of fixed size, whatever the vocabulary.
 RARITY_CLASSES = 1 << 15
 #: Documents up to this number are sent to every task, with the numbers of lines to compare; more join by a shuffle.
@@ -63,7 +66,8 @@ def line_sets(docs: DataFrame, classes: bytes) -> DataFrame:
         "_id", "line_no", F.size("tokens").alias("n"), parity.alias("bits"), F.array_min("tokens").alias("least"),
         F.array_max("tokens").alias("greatest"), ranks.alias("ranks"))
     n = F.col("n")
-    prefix = F.slice("ranks", F.lit(1), n - F.ceil(n * SIMILAR_PERCENT / 100).cast("int") + 1)
+    prefix = F.slice("ranks", F.lit(1), F.when(
+        n >= LEAST_NEAR_WORDS, n - F.ceil(n * SIMILAR_PERCENT / 100).cast("int") + 1).otherwise(0))
     return ranked.select(
         "_id", "line_no", F.xxhash64("ranks").alias("key1"), F.xxhash64(F.lit(1), F.col("ranks")).alias("key2"), "n", "bits",
         "least", "greatest", F.transform(prefix, lambda r: F.pmod(r, F.lit((1 << 31) - 1)).cast("int")).alias("prefix"))
@@ -141,11 +145,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         firsts, (F.col("key1") == F.col("_k1")) & (F.col("key2") == F.col("_k2")) & _earlier(
             F.col("_fid"), F.col("_fl"), F.col("_id"), F.col("line_no"))).select("_id", "line_no")
 
-    near = stored(_first_pairs(sets, "least").union(_first_pairs(sets, "greatest")).distinct(), "line-first-pairs")
+    larger = sets.filter(F.col("n") >= LEAST_NEAR_WORDS)
+    near = stored(_first_pairs(larger, "least").union(_first_pairs(larger, "greatest")).distinct(), "line-first-pairs")
     settled = stored(_verified(near, docs), "line-settled")
     known = settled.select(F.col("_id").alias("_sid"), F.col("line_no").alias("_sl"), F.lit(True).alias("_settled"))
     opened = stored(
-        sets.drop("key1", "key2", "copies", "least", "greatest")
+        larger.drop("key1", "key2", "copies", "least", "greatest")
         .join(known, (F.col("_id") == F.col("_sid")) & (F.col("line_no") == F.col("_sl")), "left")
         .select("_id", "line_no", "n", "bits", F.col("_settled").isNull().alias("open"), "prefix"), "line-open")
     pairs = stored(_prefix_pairs(opened).distinct(), "line-pairs")
@@ -157,7 +162,7 @@ def without_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_colu
 
     Lines are split at line feeds and come in order of id and place, in all documents together. A line goes if its words,
     in lower case, share ``SIMILAR_PERCENT`` of the union with those of an earlier line, whether that one stays or not;
-    lines of fewer than ``LEAST_WORDS`` distinct words stay. A null text stays null and has no lines; an empty one has one.
+    lines without any word stay. A null text stays null and has no lines; an empty one has one.
     Rows with a null id lose nothing and cause no loss; rows that repeat an id are one document, equal in text. The other
     columns are passed on.
     """

@@ -72,3 +72,15 @@ def test_edge_rows(spark):
         (3, f"{line}\nshort\n", "a", 4, 1), (4, "", "b", 1, 1), (4, "", "b", 1, 1), (None, line, "c", 1, 0), (6, None, "d", 0, 0),
         (7, "", "e", 1, 0), (8, "short\nshort", "f", 2, 0)], key=str)
     assert line_dedup.without_repeated_lines(docs.limit(0)).collect() == []
+
+
+def test_short_lines_go_as_well(spark):
+    texts = [
+        "All rights reserved.\nyes\n\n \t", "yes\nYES yes\nAll rights reserved.", "buy buy buy buy buy buy\none two three four",
+        "Buy\nfour three two one\none two three", "a b c d e\na b c d e f\na b c d e f g\n\n", "e d c b a\na b c d e x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.without_repeated_lines(docs).collect()}
+    # Seven words nearly equal six of them; five words and six do not.
+    assert got == {
+        0: (texts[0], 0), 1: ("", 3), 2: (texts[2], 0), 3: ("one two three", 2), 4: ("a b c d e\na b c d e f\n\n", 1),
+        5: ("a b c d e x", 1)}
