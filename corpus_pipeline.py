@@ -15,6 +15,9 @@ from kinweave.llm import decontaminate, line_dedup, minhash, toxicity
 from kinweave.llm.catalog import TOXIC_SCORE, packed_documents, table, training_labels
 from kinweave.llm.scratch import stored
 
+#: Documents whose shingle sets share this part of their union are near duplicates.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold."""
@@ -33,7 +36,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    found = minhash.near_duplicates(docs)
+    found = minhash.near_duplicates(docs, percent=NEAR_PERCENT)
     return _without(docs, found.filter(~F.col("kept")))
 
 

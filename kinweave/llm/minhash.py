@@ -25,19 +25,21 @@ from kinweave.llm.wordhash import NOT_SPACE, Words
 from kinweave.operators.skew import lookup
 
 SHINGLE_WORDS = 5
+#: Sets that share at least this part of their union are linked, unless the caller names another.
 SIMILAR_PERCENT = 85
-#: A pair at the threshold misses all bands with a probability below one in a million: (1 - 0.85^6)^30.
-BANDS = 30
+#: Permutations, each with a least and a greatest value; a band has at most so many of these values.
+PERMUTATIONS = 90
 BAND_VALUES = 6
+#: A pair at the threshold may miss all bands with a probability below this.
+MISSED = 1e-6
 #: A class is described by its difference from a pivot if that is at most one in so many of their elements together.
 HOME_PART = 3
 #: Pivots of a bucket in a later round, as a power of the round.
 PIVOT_GROWTH = 64
 
-_PERMUTATIONS = BANDS * BAND_VALUES // 2
 _draw = np.random.default_rng(23)
-_FACTORS = _draw.integers(0, 2**63, _PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _draw.integers(0, 2**63, _PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
+_FACTORS = _draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
 _IN_BAND = _draw.integers(0, 2**63, BAND_VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -45,18 +47,26 @@ def min_max_signatures(sets: list[np.ndarray]) -> np.ndarray:
     """A row for each non-empty set: least and greatest value under each permutation, side by side."""
     values = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), _PERMUTATIONS, 2), np.uint64)
-    for i in range(_PERMUTATIONS):
+    out = np.empty((len(sets), PERMUTATIONS, 2), np.uint64)
+    for i in range(PERMUTATIONS):
         permuted = values * _FACTORS[i] + _SHIFTS[i]
         out[:, i, 0] = np.minimum.reduceat(permuted, starts)
         out[:, i, 1] = np.maximum.reduceat(permuted, starts)
-    return out.reshape(len(sets), 2 * _PERMUTATIONS)
+    return out.reshape(len(sets), 2 * PERMUTATIONS)
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """A key for each band, unlike those of other bands."""
-    banded = signatures.reshape(-1, BANDS, BAND_VALUES)
-    return wordhash.mixed((banded * _IN_BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+def band_values(percent: int) -> int:
+    """Values in a band: as many as find all but a part of ``MISSED`` of the pairs at the threshold, else one."""
+    signed = 2 * PERMUTATIONS
+    fits = (v for v in range(BAND_VALUES, 1, -1) if signed % v == 0 and (1 - (percent / 100) ** v) ** (signed // v) < MISSED)
+    return next(fits, 1)
+
+
+def band_keys(signatures: np.ndarray, values: int = BAND_VALUES) -> np.ndarray:
+    """A key for each band of so many values, unlike those of other bands."""
+    banded = signatures.reshape(len(signatures), -1, values)
+    bands = np.arange(banded.shape[1], dtype=np.uint64)
+    return wordhash.mixed((banded * _IN_BAND[:values]).sum(axis=2, dtype=np.uint64) + bands)
 
 
 def _sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -66,12 +76,12 @@ def _sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
         yield wordhash.shingle_sets(words.hashes(), words.of_text, SHINGLE_WORDS)
 
 
-def _sign(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], schema: pa.Schema, values: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, keys, bands = [], [], []
         for sets in _sets(batch.column(1)):
             full = [s for s in sets if len(s)]
-            signed = iter(band_keys(min_max_signatures(full)).view(np.int64) if full else ())
+            signed = iter(band_keys(min_max_signatures(full), values).view(np.int64) if full else ())
             for s in sets:
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None)
@@ -81,16 +91,18 @@ def _sign(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
             columns, list(schema)[1:], strict=True))], schema=schema)
 
 
-def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def signatures(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = SIMILAR_PERCENT,
+) -> DataFrame:
     """``_id, n_shingles, set_key, bands`` for each row; a text without words has 0 shingles and nulls."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = T.StructType([
         T.StructField("_id", docs.schema[id_column].dataType), T.StructField("n_shingles", T.LongType()),
         T.StructField("set_key", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    arrow = to_arrow_schema(schema)
+    arrow, values = to_arrow_schema(schema), band_values(percent)
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    return rows.mapInArrow(lambda batches: _sign(batches, arrow), schema)
+    return rows.mapInArrow(lambda batches: _sign(batches, arrow, values), schema)
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,9 +111,9 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
 
-def _may_link(n: Column, m: Column) -> Column:
+def _may_link(n: Column, m: Column, percent: int) -> Column:
     """Sets whose sizes alone rule a link out are not compared."""
-    return 100 * F.least(n, m) >= SIMILAR_PERCENT * F.greatest(n, m)
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -116,12 +128,12 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.array_sort(F.array_except("shingles", "_of_a")).alias("only_b"))
 
 
-def _similar(n: Column, m: Column, differing: Column) -> Column:
+def _similar(n: Column, m: Column, differing: Column, percent: int) -> Column:
     """Sets of n and m elements of which so many are in one only: the common ones are enough of the union."""
-    return (100 - SIMILAR_PERCENT) * (n + m) >= (100 + SIMILAR_PERCENT) * differing
+    return (100 - percent) * (n + m) >= (100 + percent) * differing
 
 
-def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
+def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Members of a bucket beside its pivots, unless connected or of the same home; each pair once."""
     left = members.withColumn("_bucket", F.col("bucket").cast("string"))
     right = pivots.select(
@@ -129,11 +141,11 @@ def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
         F.col("_p.label").alias("_label"), F.col("_p.home").alias("_home"))
     beside = lookup(left, right, "_bucket", "inner").filter(
         (F.col("class_id") != F.col("pivot")) & (F.col("label") != F.col("_label")) & (F.col("home") != F.col("_home"))
-        & _may_link(F.col("n"), F.col("_m")))
+        & _may_link(F.col("n"), F.col("_m"), percent))
     return beside.select(F.greatest("class_id", "pivot").alias("a"), F.least("class_id", "pivot").alias("b")).distinct()
 
 
-def _homes(met: DataFrame) -> DataFrame:
+def _homes(met: DataFrame, percent: int) -> DataFrame:
     """``home, class_id, n, excess, differing``: each class by its difference from the first pivot it resembles.
 
     ``differing`` has the elements that only one of class and home has, those of the class first. ``excess`` is such that
@@ -147,7 +159,7 @@ def _homes(met: DataFrame) -> DataFrame:
         F.col("_h.differing").alias("differing"))
     pivots = near.groupBy(F.col("_h.b").alias("home")).agg(F.max("_h.m").alias("n")).select(
         "home", F.col("home").alias("class_id"), "n", F.array().cast("array<long>").alias("differing"))
-    excess = (100 + SIMILAR_PERCENT) * F.size("differing") - (100 - SIMILAR_PERCENT) * F.col("n")
+    excess = (100 + percent) * F.size("differing") - (100 - percent) * F.col("n")
     return own.unionByName(pivots).withColumn("excess", excess)
 
 
@@ -161,7 +173,7 @@ def _with_stars(homes: DataFrame) -> DataFrame:
     return found.withColumn("label", label).drop("_home", "_least", "_star")
 
 
-def _difference_links(named: DataFrame) -> DataFrame:
+def _difference_links(named: DataFrame, percent: int) -> DataFrame:
     """Links of classes of one home that share differences from it, found and confirmed on the differences alone.
 
     The common part of a family cancels out, so its variants meet only where they depart from it alike.
@@ -174,7 +186,7 @@ def _difference_links(named: DataFrame) -> DataFrame:
     needed = F.col("a_excess") + F.col("b_excess")
     met = a.join(b, (F.col("a_home") == F.col("b_home")) & (F.col("a_element") == F.col("b_element")) & (
         F.col("a_class_id") > F.col("b_class_id")) & (F.col("a_label") != F.col("b_label")) & _may_link(
-        F.col("a_n"), F.col("b_n")) & (2 * (100 + SIMILAR_PERCENT) * room >= needed))
+        F.col("a_n"), F.col("b_n"), percent) & (2 * (100 + percent) * room >= needed))
     pairs = stored(met.select(
         F.col("a_home").alias("home"), F.col("a_class_id").alias("a"), F.col("b_class_id").alias("b"), needed.alias("needed"))
         .distinct(), "minhash-pairs")
@@ -183,7 +195,7 @@ def _difference_links(named: DataFrame) -> DataFrame:
     both = pairs.join(x, (F.col("home") == F.col("_xh")) & (F.col("a") == F.col("_x"))).join(
         y, (F.col("home") == F.col("_yh")) & (F.col("b") == F.col("_y")))
     shared = F.size(F.array_intersect("_xd", "_yd"))
-    return both.filter(2 * (100 + SIMILAR_PERCENT) * shared >= F.col("needed")).select("a", "b")
+    return both.filter(2 * (100 + percent) * shared >= F.col("needed")).select("a", "b")
 
 
 def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -194,16 +206,18 @@ def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
     return found.withColumn("label", F.coalesce("label", "class_id")).drop("_class")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = SIMILAR_PERCENT,
+) -> DataFrame:
     """``id_column, n_shingles, component_id, kept`` for each row of ``docs``.
 
     A document's set holds its distinct five-word shingles, of a shorter one the whole as one; words are runs without
-    ASCII white space, A-Z in lower case. Documents are linked if their sets share ``SIMILAR_PERCENT`` of their union;
+    ASCII white space, A-Z in lower case. Documents are linked if their sets share ``percent`` of their union;
     ``component_id`` is the smallest id reachable, and that document is kept. Texts without words, null included, are
     linked with nothing. Rows with a null id are no documents: they are kept without a component. Rows that repeat an id
     are one document; if their texts differ, a link of any of them counts for it. An empty table gives an empty result.
     """
-    signed = stored(signatures(docs, id_column, text_column), "minhash-signatures")
+    signed = stored(signatures(docs, id_column, text_column, percent), "minhash-signatures")
     classes = stored(
         signed.filter(F.col("set_key").isNotNull() & F.col("_id").isNotNull())
         .groupBy("set_key").agg(
@@ -224,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         texts.mapInArrow(_shingles, "class_id long, shingles array<long>")
         .groupBy("class_id", F.xxhash64("shingles").alias("_same")).agg(F.min("shingles").alias("shingles"))
         .select("class_id", "shingles"), "minhash-sets")
-    labels = _connect(members, sets)
+    labels = _connect(members, sets, percent)
 
     copies = classes.filter(F.col("last_id") > F.col("class_id")).select("set_key", "class_id")
     named = lookup(signed.select("_id", "n_shingles", "set_key"), copies, "set_key")
@@ -236,16 +250,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
 
 
-def _connect(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _connect(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, label`` of the components of all links between members of the same bucket."""
     pivots = members.groupBy("bucket").agg(F.min(F.struct("class_id", "n", "label", "home")).alias("_p"))
-    pairs = stored(_pairs(members, pivots), "minhash-pairs")
+    pairs = stored(_pairs(members, pivots, percent), "minhash-pairs")
     met = stored(compared(pairs, sets), "minhash-compared")
     differing = F.size("only_a") + F.size("only_b")
-    links = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
-    homes = stored(_with_stars(_homes(met)), "minhash-homes")
+    links = met.filter(_similar(F.col("n"), F.col("m"), differing, percent)).select("a", "b")
+    homes = stored(_with_stars(_homes(met, percent)), "minhash-homes")
     stars = homes.filter(F.col("class_id") != F.col("label")).select(F.col("class_id").alias("a"), F.col("label").alias("b"))
-    links = stored(links.union(stars).union(_difference_links(homes)), "minhash-links")
+    links = stored(links.union(stars).union(_difference_links(homes, percent)), "minhash-links")
     labels = components(links)
 
     # What is left are pairs of different homes, met by more and more pivots of their buckets.
@@ -269,10 +283,10 @@ def _connect(members: DataFrame, sets: DataFrame) -> DataFrame:
         pivots = stored(
             members.groupBy("bucket", slot.alias("_slot")).agg(F.min(F.struct("class_id", "n", "label", "home")).alias("_p")),
             "minhash-pivots")
-        pairs = stored(_pairs(members, pivots).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        pairs = stored(_pairs(members, pivots, percent).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         tested = tested.unionByName(pairs)
         met = compared(pairs, sets)
-        new = met.filter(_similar(F.col("n"), F.col("m"), differing)).select("a", "b")
+        new = met.filter(_similar(F.col("n"), F.col("m"), differing, percent)).select("a", "b")
         new = stored(new, "minhash-links")
         if not new.isEmpty():
             links = links.union(new)

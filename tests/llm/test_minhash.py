@@ -94,3 +94,28 @@ def test_components(spark, links):
         for a, b in links:
             least[a] = least[b] = min(least[a], least[b])
     assert got == {n: m for n, m in least.items() if n != m}
+
+
+@pytest.mark.parametrize("percent, values", [(85, 6), (80, 5)])
+def test_similarity_of_the_caller(spark, percent, values):
+    assert minhash.band_values(percent) == values
+    rnd = random.Random(8)
+    rows = []
+    for family in range(8):
+        base = [f"w{family}x{i}" for i in range(100)]
+        for k in range(12):
+            words = list(base)
+            for at in rnd.sample(range(100), rnd.randint(0, 3)):
+                words[at] = f"v{rnd.random()}"
+            rows.append((family * 100 + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, percent=percent).collect()}
+    sets = brute_sets([t for _, t in rows])
+    least, changed = {i: i for i, _ in rows}, True
+    near = [(a, b) for (a, _), s in zip(rows, sets) for (b, _), t in zip(rows, sets) if 100 * len(s & t) >= percent * len(s | t)]
+    while changed:
+        changed = False
+        for a, b in near:
+            if least[b] < least[a]:
+                least[a], changed = least[b], True
+    assert got == least

@@ -80,3 +80,11 @@ def test_packing(steps):
     placed = steps["packing"].collect()
     assert {r.doc_id for r in placed} == set(rows(steps["decontaminate"]))
     assert packed.check_places(placed, 2048) == packed.one_by_one([r.length for r in placed], 2048)
+
+
+def test_near_duplicates_from_80_percent_on(spark):
+    words = [f"w{i}" for i in range(100)]
+    # 86 shingles of 106 are shared, 81 %; of the third 81 of 111 with the first, 73 %.
+    two, three = (" ".join(f"{n}{i}" if i in (20, 50, 80)[:n] else w for i, w in enumerate(words)) for n in (2, 3))
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, two), (3, three)], "doc_id long, text string")
+    assert sorted(rows(corpus_pipeline.drop_near_duplicates(spark, docs, SF))) == [1, 3]
