@@ -37,18 +37,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
     found = minhash.near_duplicates(docs, percent=NEAR_PERCENT)
-    return _without(docs, found.filter(~F.col("kept")))
+    ids = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
+    return docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which too little is in the benchmark to call them contaminated."""
+    """Documents of which too little is in the benchmark to call them contaminated. Rows are told by their texts, on which
+    alone the verdict depends, so ids may be null or repeat."""
     windows = stored(decontaminate.item_windows(table(spark, sf_dir, "benchmark")), "benchmark-windows")
-    return _without(docs, decontaminate.contamination(docs, windows).filter("contaminated"))
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    ids = stored(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
-    return docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
+    digest = F.sha2("text", 256)
+    texts = docs.select(digest.alias("_rejected"), "text")
+    found = decontaminate.contamination(texts, windows, "_rejected").filter("contaminated")
+    rejected = stored(found.select("_rejected").distinct(), "rejected")
+    return docs.join(rejected, digest == F.col("_rejected"), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

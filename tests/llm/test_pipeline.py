@@ -88,3 +88,11 @@ def test_near_duplicates_from_80_percent_on(spark):
     two, three = (" ".join(f"{n}{i}" if i in (20, 50, 80)[:n] else w for i, w in enumerate(words)) for n in (2, 3))
     docs = spark.createDataFrame([(1, " ".join(words)), (2, two), (3, three)], "doc_id long, text string")
     assert sorted(rows(corpus_pipeline.drop_near_duplicates(spark, docs, SF))) == [1, 3]
+
+
+def test_contaminated_rows_go_by_their_own_text(spark):
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len((r.text or "").split()) >= 13)
+    docs = spark.createDataFrame(
+        [(None, item, "a"), (None, "clean words", "b"), (5, item, "c"), (5, "clean too", "d"), (6, None, "e"), (None, None, "f")],
+        "doc_id long, text string, source string")
+    assert sorted(r.source for r in corpus_pipeline.drop_contaminated(spark, docs, SF).collect()) == ["b", "d", "e", "f"]
