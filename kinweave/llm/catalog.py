@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import decontaminate, line_dedup, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc
+from kinweave.llm import (
+    decontaminate, hard_negatives, line_dedup, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc, whitening,
+)
 from kinweave.llm.scratch import new_path, stored
 
 TOKEN_LIMIT = 1024
@@ -123,6 +125,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.quantised(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(vectors)
+    shares = [] if model is None else model.explained.tolist()
+    explained = F.array(*map(F.lit, shares)).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("_id", "deviation", F.posexplode("whitened").alias("_at", "whitened"))
+    return rows.select(
+        F.col("_id").alias("vec_id"), (F.col("_at") + 1).alias("component"), F.lit(model.n if model else None).cast("long").alias("n"),
+        "deviation", "whitened", F.get(explained, F.col("_at")).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mine(rows, F.col("_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash": op2_minhash,
@@ -134,4 +154,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }

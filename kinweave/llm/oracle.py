@@ -119,9 +119,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP13 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(c::DOUBLE * 256)) AS x
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: isfinite(c))) = len(embedding)),
+     s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_inner_product(a.x, v.x)::BIGINT AS score
+           FROM v a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _OP1,
     "op5_warc": _OP5,
     "op6_url_filter": _OP6,
     "op9_decontaminate": _OP9,
+    "op13_hard_negatives": _OP13,
 }
