@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm import (
-    decontaminate, hard_negatives, line_dedup, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc, whitening,
+    boilerplate, decontaminate, hard_negatives, line_dedup, minhash, packing, quality, substrings, token_counts, toxicity, url_filter, warc,
+    whitening,
 )
 from kinweave.llm.scratch import new_path, stored
 
@@ -125,6 +126,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_text(table(spark, sf_dir, "pages")).select(
+        F.col("_id").alias("page_id"), F.col("_url").alias("url"), "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = whitening.quantised(table(spark, sf_dir, "embeddings"))
     model = whitening.fit(vectors)
@@ -154,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op11_html_extraction": op11_html_extraction,
     "op12_whitening": op12_whitening,
     "op13_hard_negatives": op13_hard_negatives,
 }
