@@ -19,9 +19,10 @@ from kinweave.functions import keys, masks, tokens
 from kinweave.operators import (
     devices, exceptions, gold, golden, history, leads, links, masking, quality, serving, standardise, survivorship,
 )
-from kinweave.plans.daily import DailyRun, Inputs
-from kinweave.schemas import COREBANKING, conform_schema
+from kinweave.plans.daily import DailyRun, Inputs, Keep
+from kinweave.schemas import COREBANKING, EXCEPTION, conform_schema, fill_columns
 from kinweave.session import shared_folder
+from kinweave.sources.publication import Versions
 from kinweave.sources.rules import rules_table, survivorship_rules
 from kinweave.sources.tables import written
 
@@ -52,8 +53,10 @@ class Case:
             party=lambda: self.fx.fx_party, document=lambda: self.fx.fx_document,
             contact_point=lambda: self.fx.fx_contact_point, account=lambda: self.fx.fx_sf_account,
             app_user=lambda: self.fx.fx_app_user, events=lambda: self.fx.fx_app_event,
-            xref=lambda: self.fx.fx_xref_prior, queue=self.fx.queue, bridge=lambda: self.fx.fx_bridge_prior,
-            dim_customer=lambda: self.fx.fx_dim_prior, gold=lambda: self.fx.fx_gold_prior,
+            xref=Versions.of(lambda: self.fx.fx_xref_prior), bridge=lambda: self.fx.fx_bridge_prior,
+            open_subjects=lambda: exceptions.open_subjects(self.fx.queue()),
+            raised=lambda: fill_columns(self.fx.queue(), EXCEPTION).filter(F.col("detected_date") == F.lit(RUN_DATE)),
+            dim_customer=Versions.of(lambda: self.fx.fx_dim_prior), gold=Versions.of(lambda: self.fx.fx_gold_prior),
         ), RUN_DATE, self.tokenizer, keep=written(self.spark, KEPT))
 
     @cached_property
@@ -61,14 +64,25 @@ class Case:
         return history.scd2_apply(
             self.run.snapshot, self.fx.fx_dim_prior, ["customer_key"], HISTORY_TRACKED, RUN_DATE)
 
+    @cached_property
+    def keep(self) -> Keep:
+        return written(self.spark)
+
     @cached_property
     def pairs(self) -> DataFrame:
         return leads.lead_blocks(self.fx.fx_lead, self.fx.fx_person)
 
+    @cached_property
+    def compared(self) -> DataFrame:
+        return leads.lead_compare(self.keep("lead_pairs", self.pairs), self.keep)
+
+    @cached_property
+    def weights(self) -> list[leads.Weight]:
+        return [leads.Weight(f, level, m, u) for f in leads.FIELDS for level, (m, u) in LEAD_WEIGHTS.items()]
+
     @cached_property
     def scored(self) -> DataFrame:
-        weights = [leads.Weight(f, level, m, u) for f in leads.FIELDS for level, (m, u) in LEAD_WEIGHTS.items()]
-        return leads.lead_score(leads.lead_compare(self.pairs), weights, LEAD_PRIOR)
+        return leads.lead_score(self.compared, self.weights, LEAD_PRIOR)
 
 
 def _text(df: DataFrame, *columns: str) -> DataFrame:
@@ -116,7 +130,7 @@ def _rule_use(c: Case) -> DataFrame:
 
 def _ranked(c: Case) -> DataFrame:
     candidates = c.run.keep("candidates", c.run.candidates)
-    return survivorship.survivorship_ranked(candidates).drop("is_verified")
+    return survivorship.survivorship_ranked(candidates, keep=c.keep).drop("is_verified")
 
 
 def _masked(roles: Sequence[str]) -> Callable[[Case], DataFrame]:
@@ -159,9 +173,16 @@ def _score(c: Case) -> DataFrame:
         F.round("match_probability", 9).alias("match_probability"))
 
 
+def _review(c: Case) -> DataFrame:
+    sides = leads.lead_classes(c.fx.fx_lead), leads.lead_classes(c.fx.fx_person)
+    scored = leads.lead_score(leads.class_pairs(*sides, c.keep), c.weights, LEAD_PRIOR)
+    return leads.lead_review(*sides, scored).select(
+        "lead_id", "person_id", F.round("match_weight", 6).alias("match_weight"),
+        F.round("match_probability", 9).alias("match_probability"), "link_class")
+
+
 def _estimate_m(c: Case) -> DataFrame:
-    people, people_u = leads.lead_patterns(leads.lead_compare(c.pairs)), leads.lead_estimate_u(
-        c.fx.fx_lead, c.fx.fx_person)
+    people, people_u = leads.lead_patterns(c.compared), leads.lead_estimate_u(c.fx.fx_lead, c.fx.fx_person)
     weights, _ = leads.lead_estimate_m(people, people_u, rounds=EM_ROUNDS)
     return leads.weights_table(people, weights).select(
         "field", "level", F.round("m", 6).alias("m"), F.round("u", 6).alias("u"))
@@ -234,10 +255,11 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "lead_candidates": lambda c: c.run.lead_candidates.select("lead_id", "person_id", "block"),
     "lead_blocks": lambda c: c.pairs.select("lead_id", "person_id", "block"),
     "lead_block_members": lambda c: leads.lead_block_members(c.fx.fx_lead, c.fx.fx_person),
-    "lead_compare": lambda c: leads.lead_compare(c.pairs),
+    "lead_compare": lambda c: c.compared,
     "lead_estimate_u": lambda c: leads.lead_estimate_u(c.fx.fx_lead, c.fx.fx_person),
     "lead_estimate_m": _estimate_m,
     "lead_score": _score,
+    "lead_review": _review,
     "lead_classify": lambda c: leads.lead_classify(c.scored).select("lead_id", "person_id", "link_class"),
 }
 

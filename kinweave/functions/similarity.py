@@ -62,8 +62,8 @@ def _build():
         return pd.Series(np.where(known, score, np.nan), index=left.index).astype("Float64")
 
     def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
-        sizes = pd.concat([left.str.len(), right.str.len()], axis=1).max(axis=1).fillna(1).clip(lower=1)
-        order = sizes.sort_values(kind="stable")
+        lengths = [side.str.len().astype("float64").fillna(1) for side in (left, right)]
+        order = lengths[0].combine(lengths[1], max).clip(lower=1).sort_values(kind="stable")
         parts, first = [], 0
         while first < len(order):
             # The longest text of a run comes last: take as many pairs as fit beside it.

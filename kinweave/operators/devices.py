@@ -81,6 +81,29 @@ def stitched_window(events: DataFrame, bridge: DataFrame, run_date: dt.date) ->
     return looked_up.select(*[stitched.get(c, F.col(c)).alias(c) for c in columns])
 
 
+def new_stitches(events: DataFrame, bridge: DataFrame, run_date: dt.date) -> DataFrame:
+    """``event_date, event_id, customer_key`` of the window's events that stitching gives to a customer: what a day adds.
+
+    An event without an id cannot be told from others and is left out. Ids that repeat on a date get one customer.
+    """
+    anonymous = events.filter(in_window(run_date) & F.col("customer_key").isNull() & F.col("event_id").isNotNull()).select(
+        "event_date", "event_id", "device_key")
+    found = skew.lookup(anonymous, single_owner_devices(bridge), "device_key", "inner")
+    return found.groupBy("event_date", "event_id").agg(F.min("customer_key").alias("customer_key"))
+
+
+def with_stitches(events: DataFrame, stitches: DataFrame) -> DataFrame:
+    """Events as delivered, with the customers that runs have given them since."""
+    given = stitches.select(
+        F.col("event_date").alias("_date"), F.col("event_id").alias("_id"), F.col("customer_key").alias("_owner"))
+    same = (F.col("event_date") == F.col("_date")) & (F.col("event_id") == F.col("_id")) & F.col("customer_key").isNull()
+    stitched = {
+        "customer_key": F.coalesce("customer_key", "_owner"),
+        "is_stitched": F.when(F.col("_owner").isNotNull(), True).otherwise(F.col("is_stitched")),
+    }
+    return events.join(given, same, "left").select(*[stitched.get(c, F.col(c)).alias(c) for c in events.columns])
+
+
 def stitch_events(events: DataFrame, bridge: DataFrame, run_date: dt.date) -> DataFrame:
     """All events; those outside the window pass through untouched and unshuffled."""
     outside = ~F.coalesce(in_window(run_date), F.lit(False))

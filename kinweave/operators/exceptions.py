@@ -78,20 +78,39 @@ def exc_attribute_mismatch(survivors: DataFrame) -> DataFrame:
         identity=F.concat_ws("|", F.lit(ATTRIBUTE_MISMATCH), customer, attribute)))
 
 
-def raise_exceptions(candidates: DataFrame, queue: DataFrame, run_date: dt.date) -> DataFrame:
-    """Rows to append to the queue: candidates not open in it and not raised before under the same key.
-
-    Attribute mismatches of one customer share type and source id, so for them the open check compares the detail. A
-    key contains its date, so only the queue rows of the run date can have it.
-    """
-    queue = fill_columns(queue, EXCEPTION)
-    subject = F.concat_ws(
+def _subject() -> Column:
+    """What an exception is about. Attribute mismatches of one customer share type and source id, so there the detail counts."""
+    return F.concat_ws(
         "\u0001", "exception_type_code", "source_system", "source_id",
         F.when(F.col("exception_type_code").isin(CONTACT_MISMATCH, KYC_MISMATCH), F.col("detail"))).alias("subject")
-    is_open = queue.filter(F.col("status_code") == OPEN).select(subject)
-    raised_before = queue.filter(
-        (F.col("detected_date") == F.lit(run_date)) & F.col("exception_key").isNotNull()).select("exception_key")
-    keyed = candidates.select("*", subject, keys.exception_key(F.col("identity"), run_date).alias("exception_key"))
-    fresh = skew.lookup(skew.lookup(keyed, is_open, "subject", "left_anti"), raised_before, "exception_key", "left_anti")
+
+
+def open_subjects(queue: DataFrame) -> DataFrame:
+    """``subject, exception_key`` of every open row of the queue."""
+    return fill_columns(queue, EXCEPTION).filter(F.col("status_code") == OPEN).select(_subject(), "exception_key")
+
+
+def still_open(subjects: DataFrame, raised: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
+    """The open subjects after a day: those there were, without the exceptions since ``resolved``, and those just raised.
+
+    A compact table in place of the queue, of which every row ever written would have to be read.
+    """
+    if resolved is not None:
+        subjects = skew.lookup(subjects, resolved.select("exception_key").distinct(), "exception_key", "left_anti")
+    return subjects.unionByName(open_subjects(raised))
+
+
+def raise_new(candidates: DataFrame, subjects: DataFrame, raised: DataFrame, run_date: dt.date) -> DataFrame:
+    """Rows to append to the queue: candidates whose subject is not open, and not ``raised`` before under the same key."""
+    keyed = candidates.select("*", _subject(), keys.exception_key(F.col("identity"), run_date).alias("exception_key"))
+    fresh = skew.lookup(keyed, subjects.select("subject"), "subject", "left_anti")
+    fresh = skew.lookup(fresh, raised.select("exception_key"), "exception_key", "left_anti")
     return fill_columns(
         fresh.withColumn("detected_date", F.lit(run_date)).withColumn("status_code", F.lit(OPEN)), EXCEPTION)
+
+
+def raise_exceptions(candidates: DataFrame, queue: DataFrame, run_date: dt.date) -> DataFrame:
+    """:func:`raise_new` against a whole queue. A key contains its date, so only the rows of the run date can have it."""
+    raised = fill_columns(queue, EXCEPTION).filter(
+        (F.col("detected_date") == F.lit(run_date)) & F.col("exception_key").isNotNull())
+    return raise_new(candidates, open_subjects(queue), raised, run_date)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from kinweave.operators.history import scd2_apply
+from kinweave.operators.history import scd2_apply, scd2_merge
 from kinweave.operators.links import CERTAIN
 from kinweave.operators.survivorship import ATTRIBUTES
 from kinweave.schemas import GOLDEN, SCORE
@@ -55,3 +55,8 @@ def golden_quarantined(survivors: DataFrame) -> DataFrame:
 
 def golden_history(snapshot: DataFrame, dim: DataFrame, run_date: dt.date, close_missing: bool = False) -> DataFrame:
     return scd2_apply(snapshot, dim, ["customer_key"], TRACKED, run_date, close_missing=close_missing)
+
+
+def golden_merge(snapshot: DataFrame, current: DataFrame, run_date: dt.date, close_missing: bool = False) -> DataFrame:
+    """The part of :func:`golden_history` that a day writes, from the current records alone."""
+    return scd2_merge(snapshot, current, ["customer_key"], TRACKED, run_date, close_missing=close_missing)

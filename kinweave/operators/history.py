@@ -33,7 +33,21 @@ def scd2_apply(
     stamps: Mapping[str, str] | None = None,
     close_missing: bool = False,
 ) -> DataFrame:
-    """New state of ``dim`` after ``snapshot``, one row per key, becomes the truth of ``run_date``.
+    """New state of ``dim`` after ``snapshot``, one row per key, becomes the truth of ``run_date``."""
+    merged = scd2_merge(snapshot, dim.filter(_is_current()), keys, tracked, run_date, stamps, close_missing)
+    return dim.filter(~_is_current()).unionByName(merged)
+
+
+def scd2_merge(
+    snapshot: DataFrame,
+    current: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    run_date: dt.date,
+    stamps: Mapping[str, str] | None = None,
+    close_missing: bool = False,
+) -> DataFrame:
+    """What ``snapshot`` makes of the ``current`` versions: those that go on, those it closes, and those it opens.
 
     A changed key has its version closed and a new one opened; a version opened on this very date is replaced, so
     a re-run of the date changes nothing. NULL counts as a value in the comparison. A key missing from the snapshot
@@ -45,15 +59,14 @@ def scd2_apply(
         "valid_from_ts": start, "valid_to_ts": f"TIMESTAMP_NTZ'{OPEN_END} 00:00:00'", "current_record_indicator": "true",
         **(stamps or {}),
     }
-    types = {f.name: f.dataType.simpleString() for f in dim.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
 
     def version(base: str, **changes: str) -> str:
-        fields = [f"CAST({changes.get(c, f'{base}.`{c}`')} AS {types[c]}) AS `{c}`" for c in dim.columns]
+        fields = [f"CAST({changes.get(c, f'{base}.`{c}`')} AS {types[c]}) AS `{c}`" for c in current.columns]
         return f"struct({', '.join(fields)})"
 
-    history = dim.filter(~_is_current())
-    old = dim.filter(_is_current()).select(*keys, F.struct(*dim.columns).alias("_old"))
-    new = snapshot.select(*keys, F.struct(*[c for c in dim.columns if c not in fresh]).alias("_new"))
+    old = current.select(*keys, F.struct(*current.columns).alias("_old"))
+    new = snapshot.select(*keys, F.struct(*[c for c in current.columns if c not in fresh]).alias("_new"))
 
     kept = version("_old")
     closed = version("_old", valid_to_ts=start, current_record_indicator="false")
@@ -65,8 +78,7 @@ def scd2_apply(
         WHEN {same} THEN array({kept})
         WHEN _old.valid_from_ts = {start} THEN array({opened})
         ELSE array({closed}, {opened}) END)"""
-    merged = old.join(new, list(keys), "full_outer").selectExpr(versions)
-    return history.unionByName(merged)
+    return old.join(new, list(keys), "full_outer").selectExpr(versions)
 
 
 def xref_scd2_apply(xref: DataFrame, links: DataFrame, run_date: dt.date, close_missing: bool = False) -> DataFrame:
@@ -76,6 +88,13 @@ def xref_scd2_apply(xref: DataFrame, links: DataFrame, run_date: dt.date, close_
         stamps={"_batch_run_date": f"'{run_date}'"}, close_missing=close_missing)
 
 
+def xref_scd2_merge(current: DataFrame, links: DataFrame, run_date: dt.date, close_missing: bool = False) -> DataFrame:
+    """The part of :func:`xref_scd2_apply` that a day writes, from the current links alone."""
+    return scd2_merge(
+        links, current, XREF_KEYS, XREF_TRACKED, run_date,
+        stamps={"_batch_run_date": f"'{run_date}'"}, close_missing=close_missing)
+
+
 def xref_close(xref: DataFrame, links: DataFrame, run_date: dt.date) -> DataFrame:
     """First half of :func:`xref_scd2_apply`: changed links closed, none opened yet."""
     start = key_functions.start_of(run_date)

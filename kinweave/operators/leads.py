@@ -1,11 +1,13 @@
 """Likely existing customers among leads: blocking, comparison, and Fellegi-Sunter scoring for review.
 
-A score suggests, it never merges. Candidate pairs come from equi-joins only, and all of them are compared.
+A score suggests, it never merges. Candidate pairs come from equi-joins only, and all of them are compared. Similarity is computed
+once for each two different values of a field, however many pairs of people have them. For review, people who agree on every field
+are one class (:func:`lead_review`): classes are compared, and only those that score high enough are expanded to people.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -120,21 +122,51 @@ def lead_block_members(leads: DataFrame, persons: DataFrame) -> DataFrame:
     return skew.lookup(members, both, "_block", "inner").drop("_block")
 
 
-def lead_compare(pairs: DataFrame) -> DataFrame:
-    """Level of agreement per field. Similarity is computed for unequal values only."""
-    scored = pairs.select("*", *[
-        jaro_winkler(F.expr(f"CASE WHEN lead.{f} <> person.{f} THEN lead.{f} END"), F.col(f"person.{f}")).alias(f"{f}_jw")
-        for f in FIELDS])
-    return scored.selectExpr("lead_id", "person_id", *[
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt out to as many tasks as a shuffle has. Adaptive execution goes by bytes and would leave a few MB, and with them
+    a million similarities, to one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
+def value_pairs(pairs: DataFrame) -> DataFrame:
+    """``field, a, b``: the values that meet in some pair, known on both sides, and ``pair_count``, in how many pairs they do."""
+    long = pairs.selectExpr("inline(array(" + ", ".join(f"struct('{f}' AS field, lead.{f} AS a, person.{f} AS b)" for f in FIELDS) + "))")
+    return long.filter("a IS NOT NULL AND b IS NOT NULL").groupBy("field", "a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
+
+
+def value_levels(values: DataFrame) -> DataFrame:
+    """``values`` with the level of agreement of each two: one similarity for each row whose values differ."""
+    same = values.filter("a = b").withColumn("level", F.lit(EXACT))
+    scored = _spread(values.filter("a <> b"), "field", "a", "b").withColumn("_jw", jaro_winkler(F.col("a"), F.col("b")))
+    level = F.when(F.col("_jw") >= CLOSE_LIMIT, CLOSE).when(F.col("_jw") >= NEAR_LIMIT, NEAR).otherwise(DIFFERENT)
+    return same.unionByName(scored.withColumn("level", level).drop("_jw"))
+
+
+def lead_compare(pairs: DataFrame, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Level of agreement per field.
+
+    The dictionary of values that are close or near is looked up for each field; of the others the rows themselves tell. ``keep``
+    writes it once, see :func:`kinweave.sources.tables.written`; else each lookup computes it.
+    """
+    alike = value_levels(value_pairs(pairs).filter("a <> b")).filter(F.col("level") != DIFFERENT).select(
+        "field", F.concat("a", F.lit("\u0001"), "b").alias("_values"), "level")
+    alike = keep("lead_values", alike) if keep else alike
+    found = pairs
+    for f in FIELDS:
+        asked = F.expr(f"CASE WHEN lead.{f} <> person.{f} THEN concat(lead.{f}, '\u0001', person.{f}) END")
+        answers = alike.filter(F.col("field") == f).select("_values", F.col("level").alias(f"{f}_alike"))
+        found = skew.lookup(found.withColumn("_values", asked), answers, "_values").drop("_values")
+    return found.selectExpr(*[c for c in found.columns if c not in ("lead", "person", "block") and not c.endswith("_alike")], *[
         f"CASE WHEN lead.{f} IS NULL OR person.{f} IS NULL THEN {UNKNOWN} WHEN lead.{f} = person.{f} THEN {EXACT} "
-        f"WHEN {f}_jw >= {CLOSE_LIMIT}D THEN {CLOSE} WHEN {f}_jw >= {NEAR_LIMIT}D THEN {NEAR} "
-        f"ELSE {DIFFERENT} END AS {f}_level"
+        f"ELSE coalesce({f}_alike, {DIFFERENT}) END AS {f}_level"
         for f in FIELDS])
 
 
-def lead_patterns(compared: DataFrame) -> DataFrame:
-    """Pairs collapsed to level patterns with their count: at most ``LEVEL_PATTERNS`` rows whatever the input."""
-    return compared.groupBy(*level_columns()).agg(F.count(F.lit(1)).alias("pair_count"))
+def lead_patterns(compared: DataFrame, count: str | None = None) -> DataFrame:
+    """Pairs collapsed to level patterns with their count: at most ``LEVEL_PATTERNS`` rows whatever the input. ``count`` names the
+    column that says for how many pairs a row stands."""
+    pairs = F.sum(count) if count else F.count(F.lit(1))
+    return compared.groupBy(*level_columns()).agg(pairs.alias("pair_count"))
 
 
 def random_pairs(leads: DataFrame, persons: DataFrame, partners: int = 20, seed: int = 1) -> DataFrame:
@@ -148,19 +180,16 @@ def random_pairs(leads: DataFrame, persons: DataFrame, partners: int = 20, seed:
     def drawn(people: DataFrame, side: str) -> DataFrame:
         key = F.col(f"{side}_id")
         digits = F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.lit(side), key), 256), 1, 12)
-        return _keyed(people, side).select(key, side, F.pmod(F.conv(digits, 16, 10).cast("long"), buckets).alias("bucket"))
+        rows = _keyed(people, side).select(key, side, F.pmod(F.conv(digits, 16, 10).cast("long"), buckets).alias("bucket"))
+        return _spread(rows, "bucket")
 
     return drawn(leads, "lead").join(drawn(persons, "person"), "bucket").drop("bucket")
 
 
 def lead_estimate_u(leads: DataFrame, persons: DataFrame, partners: int = 20, seed: int = 1) -> DataFrame:
     """Share of each level among random pairs, which are almost all non-matches. Unknown levels do not count."""
-    patterns = lead_patterns(lead_compare(random_pairs(leads, persons, partners, seed)))
-    long = patterns.select(
-        "pair_count", F.inline(F.array(*[
-            F.struct(F.lit(f).alias("field"), F.col(f"{f}_level").alias("level")) for f in FIELDS])),
-    ).filter(F.col("level") != UNKNOWN)
-    counts = long.groupBy("field").pivot("level", [EXACT, CLOSE, NEAR, DIFFERENT]).agg(F.sum("pair_count")).fillna(0)
+    levels = value_levels(value_pairs(random_pairs(leads, persons, partners, seed)))
+    counts = levels.groupBy("field").pivot("level", [EXACT, CLOSE, NEAR, DIFFERENT]).agg(F.sum("pair_count")).fillna(0)
     total = F.col("3") + F.col("2") + F.col("1") + F.col("0")
     return counts.select("field", F.inline(F.array(*[
         F.struct(F.lit(v).alias("level"), (F.col(str(v)) / total).alias("u"))
@@ -227,3 +256,55 @@ def lead_classify(scored: DataFrame) -> DataFrame:
     return scored.withColumn(
         "link_class",
         F.when(probability >= SUGGEST_LIMIT, SUGGESTED).when(probability >= REVIEW_LIMIT, REVIEW).otherwise(NO_LINK))
+
+
+class People(NamedTuple):
+    """One side of the matching by classes: ``classes`` has a row for all people who agree on every field, with the class as
+    ``person_id`` and its ``size``; ``members`` says who is in which class."""
+
+    classes: DataFrame
+    members: DataFrame
+
+
+def lead_classes(people: DataFrame) -> People:
+    fields = [F.col(f).cast("string").alias(f) for f in FIELDS]
+    keyed = people.select("person_id", F.sha2(F.to_json(F.struct(*fields)), 256).alias("class_key"), *FIELDS)
+    classes = keyed.groupBy("class_key", *FIELDS).agg(F.count(F.lit(1)).alias("size")).withColumnRenamed("class_key", "person_id")
+    return People(classes, keyed.select("class_key", "person_id"))
+
+
+def class_pairs(leads: People, persons: People, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Pairs of classes worth comparing with their levels, and ``pair_count``, the pairs of people each stands for.
+
+    Members of a class share every blocking key, so their pairs are exactly those of :func:`lead_blocks`.
+    """
+    pairs = lead_blocks(leads.classes, persons.classes)
+    pairs = keep("lead_class_pairs", pairs) if keep else pairs
+    sizes = [side.classes.select(F.col("person_id").alias(name), F.col("size").alias(f"{name}_size"))
+             for side, name in ((leads, "lead_id"), (persons, "person_id"))]
+    compared = lead_compare(pairs, keep)
+    for side, name in zip(sizes, ("lead_id", "person_id"), strict=True):
+        compared = skew.lookup(compared, side, name, "inner")
+    return compared.withColumn("pair_count", F.col("lead_id_size") * F.col("person_id_size")).drop("lead_id_size", "person_id_size")
+
+
+def lead_review(leads: People, persons: People, scored: DataFrame) -> DataFrame:
+    """``scored`` pairs of classes as pairs of people: only those that a steward should see are ever expanded."""
+    seen = lead_classify(scored).filter(F.col("link_class") != NO_LINK).select(
+        F.col("lead_id").alias("_lead"), F.col("person_id").alias("_person"), "match_weight", "match_probability", "link_class")
+    who = leads.members.select(F.col("class_key").alias("_l"), F.col("person_id").alias("lead_id"))
+    whom = persons.members.select(F.col("class_key").alias("_p"), "person_id")
+    return seen.join(who, F.col("_lead") == F.col("_l")).join(whom, F.col("_person") == F.col("_p")).select(
+        "lead_id", "person_id", "match_weight", "match_probability", "link_class")
+
+
+def review_leads(
+    leads: DataFrame, persons: DataFrame, keep: Callable[[str, DataFrame], DataFrame] | None = None, partners: int = 20, rounds: int = 50,
+) -> DataFrame:
+    """From people to suggested links, end to end: parameters are estimated from the data itself."""
+    sides = lead_classes(leads), lead_classes(persons)
+    compared = class_pairs(*sides, keep)
+    compared = keep("lead_levels", compared) if keep else compared
+    u = lead_estimate_u(leads, persons, partners)
+    weights, prior = lead_estimate_m(lead_patterns(compared, "pair_count"), u, rounds=rounds)
+    return lead_review(*sides, lead_score(compared, weights, prior))

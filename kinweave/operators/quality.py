@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -12,11 +12,15 @@ def dq_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
-def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def is_incomplete(cols: Sequence[str]) -> Column:
     broken = F.lit(False)
     for name in cols:
         broken = broken | F.col(name).isNull()
-    return df.filter(broken)
+    return broken
+
+
+def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.filter(is_incomplete(cols))
 
 
 def dq_relationships(child: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -28,14 +32,39 @@ def dq_relationships(child: DataFrame, parent: DataFrame, on: Sequence[str]) ->
     return keys.join(parent.select(*on).distinct(), list(on), "left_anti")
 
 
+def is_unknown(column: str, values: Sequence) -> Column:
+    return F.col(column).isNotNull() & ~F.col(column).isin(*values)
+
+
 def dq_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+    return df.filter(is_unknown(column, values))
 
 
 class QualityError(Exception):
     """A data-quality check found offending rows."""
 
 
+class Measured:
+    """Checks of single rows, counted while the table is written instead of in a scan of their own.
+
+    ``offending`` names each check and the rows that fail it. A task that runs twice may count twice, so only
+    whether a count is zero means something.
+    """
+
+    def __init__(self, df: DataFrame, offending: dict[str, Column]):
+        self._names = list(offending)
+        self._seen = Observation()
+        counts = [F.count_if(broken).alias(f"c{i}") for i, broken in enumerate(offending.values())]
+        self.table = df.observe(self._seen, *counts)
+
+    def require_clean(self) -> None:
+        """Fails the run if a row failed a check. Call it once the table is written."""
+        counts = self._seen.get
+        broken = {name: counts[f"c{i}"] for i, name in enumerate(self._names) if counts[f"c{i}"]}
+        if broken:
+            raise QualityError(f"rows that fail a check: {broken}")
+
+
 def require_clean(offending: DataFrame, check: str, show: int = 5) -> None:
     """Fails the run if the check found anything; reads no more than ``show`` rows."""
     rows = offending.take(show)

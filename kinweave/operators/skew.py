@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with fewer rows than this is ordinary work for one task.
-HOT_ROWS = 100_000
-# A hot group is ranked in at most about this many pieces.
-PIECES = 1_000
+from kinweave.session import shared_folder
+
 # Rows with no key spread over this many values.
 SPREAD = 4_096
 
@@ -35,52 +34,38 @@ def lookup(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> Dat
     return asked.join(answers, F.col("_asked") == F.col("_key"), how).drop("_asked", "_key")
 
 
-def _split_points(keyed: DataFrame) -> DataFrame:
-    """Per hot group, sorted keys that cut it into pieces of about ``HOT_ROWS`` rows, ``PIECES`` pieces at most.
-
-    Keys are drawn by a hash of their own value, so every evaluation draws the same ones.
-    """
-    sizes = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= 2 * HOT_ROWS)
-    lot = F.pmod(F.xxhash64("_group", "_sort"), F.lit(1 << 50)) / F.lit(float(1 << 50))
-    drawn = keyed.select("_group", "_sort", lot.alias("_lot")).filter(F.col("_lot") * HOT_ROWS < 1).distinct()
-    kept = F.col("_lot") * F.col("_size") / PIECES < 1
-    return (
-        sizes.join(drawn, "_group").filter(kept)
-        .groupBy("_group").agg(F.array_sort(F.collect_list("_sort")).alias("_cuts"))
-    )
-
-
-def has_hot_group(df: DataFrame, group: Sequence[str]) -> bool:
-    """Whether any group has ``2 * HOT_ROWS`` rows or more. Runs a job: one combining count by group."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    return not sizes.filter(F.col("_size") >= 2 * HOT_ROWS).isEmpty()
-
+def ranked(
+    df: DataFrame, group: Sequence[str], order: Column, rank: str, value: str, distinct: str,
+    keep: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """``row_number`` within a group by ascending ``order`` as ``rank``, and the group's distinct values of ``value`` as ``distinct``.
 
-def rank_in_pieces(df: DataFrame, group: Sequence[str], order: Column, rank: str) -> DataFrame:
-    """``row_number`` within a group by ascending ``order``, for data with hot groups.
+    Rows are sorted into ranges by group and ``order``, whose bounds Spark samples; a large group fills several ranges. A row's
+    rank is its place among its group's rows in its range, plus the group's rows in the ranges before: a table with a row for each
+    group and range. Values are counted from distinct (group, value) rows. So no task ever holds a group, whatever its size.
 
-    A hot group is cut at sort-key values into pieces; a row's rank is its place in its piece plus the rows of the
-    pieces before it, so no task holds the whole group.
+    ``keep`` writes the ranges, which must not be drawn anew: it is :func:`checkpointed` unless given.
     """
-    keyed = df.withColumn("_sort", order).withColumn("_group", F.to_json(F.struct(*group)))
-    before_row = F.filter("_cuts", lambda cut: cut <= F.col("_sort"))
-    pieces = (
-        lookup(keyed, _split_points(keyed), "_group")
-        .withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(before_row)))
-        .drop("_cuts")
-    )
-    within = Window.partitionBy("_group", "_piece").orderBy("_sort")
-    placed = pieces.withColumn("_place", F.row_number().over(within))
-
-    # Only cut groups have more than one piece, and those have few: offsets are a small table.
-    sizes = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sizes.withColumn("_before", F.sum("_rows").over(before)).filter(F.col("_piece") > 0)
-        .select(F.col("_group").alias("_g"), F.col("_piece").alias("_p"), "_before")
-    )
-    return (
-        placed.join(offsets, (F.col("_group") == F.col("_g")) & (F.col("_piece") == F.col("_p")), "left")
-        .withColumn(rank, F.col("_place") + F.coalesce("_before", F.lit(0)))
-        .drop("_sort", "_group", "_piece", "_place", "_g", "_p", "_before")
-    )
+    keys = [F.col(c) for c in group]
+    sort = [f"_sort.{f}" for f in df.select(order.alias("_sort")).schema["_sort"].dataType.names]
+    ranges = df.withColumn("_sort", order).repartitionByRange(*keys, *sort).withColumn("_range", F.spark_partition_id())
+    ranges = (keep or checkpointed)("ranked_ranges", ranges)
+
+    rows = ranges.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    values = ranges.select(*group, value).distinct().groupBy(*group).agg(F.count(value).alias(distinct))
+    places = rows.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).join(values, list(group))
+    same = F.col("_range") == F.col("_r")
+    for c in group:
+        same = same & (F.col(c) == F.col(f"_g_{c}"))
+    places = places.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_range").alias("_r"), "_before", distinct)
+    within = Window.partitionBy(*group, "_range").orderBy("_sort")
+    return ranges.withColumn("_place", F.row_number().over(within)).join(places, same).withColumn(
+        rank, F.col("_place") + F.col("_before")).select(*df.columns, rank, distinct)
+
+
+def checkpointed(name: str, df: DataFrame) -> DataFrame:
+    """Cuts lineage with a table in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/kinweave/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,9 +9,9 @@ unpivoted from fragments or survivors without a shuffle.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions import ordering, text
@@ -149,12 +149,14 @@ def _preference(strategy: str, priority: str) -> str:
         f"{ordering.latest_ts_first(dated)}, {priority}, source_record_id")
 
 
-def survivorship_ranked(candidates: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def survivorship_ranked(
+    candidates: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, keep: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Every candidate that may compete, with its rank and the number of distinct values in its group.
 
     For inspection: the golden record needs only the winners, see :func:`surviving_values`. Sources without a rule
-    for an attribute and NULL values do not compete. Group sizes are looked at first (one job): groups of ordinary
-    size are ranked and counted in one window, hot ones in pieces.
+    for an attribute and NULL values do not compete. Groups are ranked across ranges of the sorted candidates, so one that holds a
+    third of them is spread like any other; ``keep`` writes the ranges, see :func:`kinweave.operators.skew.ranked`.
     """
     group = ["customer_key", "attribute_name"]
     config = rules_table(candidates.sparkSession, rules).select(
@@ -162,16 +164,7 @@ def survivorship_ranked(candidates: DataFrame, rules: Sequence[Rule] = DEFAULT_R
     competing = candidates.filter(F.col("attribute_value").isNotNull()).join(
         F.broadcast(config), ["attribute_name", "source_system"])
     order = F.expr(f"struct({_preference('strategy', 'source_priority')}, attribute_value)")
-    if not skew.has_hot_group(competing, group):
-        whole = Window.partitionBy(*group)
-        return competing.withColumns({
-            "survivor_rank": F.row_number().over(whole.orderBy(order)).cast("long"),
-            "distinct_value_count": F.size(F.collect_set("attribute_value").over(whole)).cast("long"),
-        })
-    ranked = skew.rank_in_pieces(competing, group, order, "survivor_rank")
-    key = F.to_json(F.struct(*group)).alias("_group")
-    per_group = competing.groupBy(key).agg(F.count_distinct("attribute_value").alias("distinct_value_count"))
-    return skew.lookup(ranked.select("*", key), per_group, "_group", "inner").drop("_group")
+    return skew.ranked(competing, group, order, "survivor_rank", "attribute_value", "distinct_value_count", keep)
 
 
 def surviving_values(fragments: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:

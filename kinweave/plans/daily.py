@@ -18,6 +18,7 @@ from kinweave.operators import (
     devices, exceptions, gold, golden, history, leads, links, standardise, survivorship,
 )
 from kinweave.schemas import LINK
+from kinweave.sources.publication import Versions
 from kinweave.sources.rules import DEFAULT_RULES, Rule
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -38,11 +39,27 @@ class Inputs:
     account: Table
     app_user: Table
     events: Table
-    xref: Table
-    queue: Table
+    xref: Versions
+    #: Subjects of open exceptions, and the queue's rows of the run date.
+    open_subjects: Table
+    raised: Table
     bridge: Table
-    dim_customer: Table
-    gold: Table
+    dim_customer: Versions
+    gold: Versions
+    #: Keys of exceptions that people have resolved since the previous run.
+    resolved: Table | None = None
+
+
+@dataclasses.dataclass(frozen=True)
+class Settings:
+    """Choices a run leaves to its owner. ``close_missing``: a link or golden record whose source is gone is closed.
+    ``require_verified``: only verified documents anchor a CIF. ``exclude_quarantined``: logins of quarantined links
+    tie no device. ``review_leads``: leads are matched with customers and likely pairs written for review."""
+
+    close_missing: bool = False
+    require_verified: bool = False
+    exclude_quarantined: bool = False
+    review_leads: bool = False
 
 
 @dataclasses.dataclass
@@ -52,6 +69,7 @@ class DailyRun:
     tokenizer: Tokenizer
     rules: Sequence[Rule] = DEFAULT_RULES
     keep: Keep = keep_nothing
+    settings: Settings = Settings()
 
     # Links are computed from the old xref once; every later step reads the new one.
 
@@ -61,8 +79,8 @@ class DailyRun:
 
     @cached_property
     def anchored_links(self) -> DataFrame:
-        primary = links.primary_anchor(self.anchors)
-        return self.keep("anchored_links", links.anchored_links(primary, self.inputs.xref()))
+        primary = links.primary_anchor(self.anchors, self.settings.require_verified)
+        return self.keep("anchored_links", links.anchored_links(primary, self.inputs.xref.current()))
 
     @cached_property
     def core_links(self) -> DataFrame:
@@ -88,9 +106,16 @@ class DailyRun:
     def links_today(self) -> DataFrame:
         return links.links_today(self.core_links, self.sf_links, self.app_links)
 
+    # Of a table with history, a day has the versions that it writes; the whole table adds those closed before.
+
+    @cached_property
+    def xref_day(self) -> DataFrame:
+        return self.keep("xref", history.xref_scd2_merge(
+            self.inputs.xref.current(), self.links_today, self.run_date, self.settings.close_missing))
+
     @cached_property
     def xref(self) -> DataFrame:
-        return self.keep("xref", history.xref_scd2_apply(self.inputs.xref(), self.links_today, self.run_date))
+        return self.inputs.xref.closed(None).unionByName(self.xref_day)
 
     @cached_property
     def contact_norm(self) -> DataFrame:
@@ -123,15 +148,32 @@ class DailyRun:
     def snapshot(self) -> DataFrame:
         return golden.golden_snapshot(self.survivors)
 
+    @cached_property
+    def dim_day(self) -> DataFrame:
+        return self.keep("dim_customer", golden.golden_merge(
+            self.snapshot, self.inputs.dim_customer.current(), self.run_date, self.settings.close_missing))
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self.keep("dim_customer", golden.golden_history(self.snapshot, self.inputs.dim_customer(), self.run_date))
+        return self.inputs.dim_customer.closed(None).unionByName(self.dim_day)
+
+    @cached_property
+    def leads(self) -> DataFrame:
+        return leads.lead_rows(self.inputs.account(), self.contact_norm)
+
+    @cached_property
+    def persons(self) -> DataFrame:
+        return leads.person_rows(self.snapshot)
 
     @cached_property
     def lead_candidates(self) -> DataFrame:
-        """Pairs of a lead and a customer worth comparing, for the review of leads."""
-        return leads.lead_blocks(
-            leads.lead_rows(self.inputs.account(), self.contact_norm), leads.person_rows(self.snapshot))
+        """Pairs of a lead and a customer worth comparing."""
+        return leads.lead_blocks(self.leads, self.persons)
+
+    @cached_property
+    def lead_review(self) -> DataFrame:
+        """Likely pairs, for a steward. Runs jobs while it is planned, for the parameters of the scores."""
+        return leads.review_leads(self.keep("lead_rows", self.leads), self.keep("person_rows", self.persons), self.keep)
 
     @cached_property
     def exception_candidates(self) -> DataFrame:
@@ -144,21 +186,37 @@ class DailyRun:
 
     @cached_property
     def new_exceptions(self) -> DataFrame:
-        return exceptions.raise_exceptions(self.exception_candidates, self.inputs.queue(), self.run_date)
+        return self.keep("queue", exceptions.raise_new(
+            self.exception_candidates, self.inputs.open_subjects(), self.inputs.raised(), self.run_date))
+
+    @cached_property
+    def open_subjects(self) -> DataFrame:
+        resolved = self.inputs.resolved() if self.inputs.resolved else None
+        return exceptions.still_open(self.inputs.open_subjects(), self.new_exceptions, resolved)
 
     @cached_property
     def bridge(self) -> DataFrame:
         return self.keep("bridge", devices.device_bridge_upsert(
-            self.inputs.bridge(), self.inputs.events(), self.xref, self.run_date))
+            self.inputs.bridge(), self.inputs.events(), self.xref_day, self.run_date, self.settings.exclude_quarantined))
 
     @cached_property
     def stitched_window(self) -> DataFrame:
         return devices.stitched_window(self.inputs.events(), self.bridge, self.run_date)
 
+    @cached_property
+    def new_stitches(self) -> DataFrame:
+        return devices.new_stitches(self.inputs.events(), self.bridge, self.run_date)
+
+    @cached_property
+    def gold_day(self) -> DataFrame:
+        since = self.run_date - dt.timedelta(days=devices.LATE_DAYS)
+        lately = self.inputs.dim_customer.closed(since).unionByName(self.dim_day)
+        return self.keep("gold", gold.gold_merge(
+            self.inputs.gold.current(), self.inputs.gold.closed(since), gold.gold_changed_versions(lately, self.run_date)))
+
     @cached_property
     def gold(self) -> DataFrame:
-        changed = gold.gold_changed_versions(self.dim_customer, self.run_date)
-        return gold.gold_upsert(self.inputs.gold(), changed)
+        return self.inputs.gold.closed(None).unionByName(self.gold_day)
 
 
 def register_views(run: DailyRun, prefix: str = "idr_") -> list[str]:

@@ -59,6 +59,36 @@ BRIDGE = T.StructType([
     T.StructField("last_seen_ts", T.TimestampNTZType()),
 ])
 
+STITCH = T.StructType([
+    T.StructField("event_date", T.DateType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("customer_key", T.StringType()),
+])
+
+OPEN_SUBJECT = T.StructType([
+    T.StructField("subject", T.StringType()),
+    T.StructField("exception_key", T.StringType()),
+])
+
+LEAD_REVIEW = T.StructType([
+    T.StructField("lead_id", T.StringType()),
+    T.StructField("person_id", T.StringType()),
+    T.StructField("match_weight", T.DoubleType()),
+    T.StructField("match_probability", T.DoubleType()),
+    T.StructField("link_class", T.StringType()),
+])
+
+LINEAGE = T.StructType([
+    T.StructField("customer_key", T.StringType()),
+    T.StructField("attribute_name", T.StringType()),
+    T.StructField("winning_source_system", T.StringType()),
+    T.StructField("winning_source_record_id", T.StringType()),
+    T.StructField("survivorship_strategy", T.StringType()),
+    T.StructField("is_corroborated", T.BooleanType()),
+    T.StructField("has_source_mismatch", T.BooleanType()),
+    T.StructField("snapshot_date", T.DateType()),
+])
+
 RULE = T.StructType([
     T.StructField("attribute_name", T.StringType()),
     T.StructField("attribute_group", T.StringType()),

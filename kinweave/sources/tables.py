@@ -1,12 +1,10 @@
-"""Reading and writing the tables of a run.
+"""Reading source tables, the upsert of a table that supports MERGE, and intermediate tables.
 
-History tables are written whole to a folder of their run date, which the next run reads: a re-run reads the same
-previous folder and overwrites only its own. Events are rewritten by date partition, the queue is appended to.
+How a run writes and publishes its own tables is in :mod:`kinweave.sources.publication`.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import itertools
 from collections.abc import Callable, Sequence
 
@@ -16,7 +14,7 @@ from pyspark.sql import types as T
 
 from kinweave.session import shared_folder
 
-_runs = itertools.count()
+_tables = itertools.count()
 
 
 def read_table(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
@@ -27,38 +25,6 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | None = N
     return reader.parquet(source)
 
 
-def run_path(root: str, name: str, run_date: dt.date) -> str:
-    return f"{root.rstrip('/')}/{name}/run_date={run_date.isoformat()}"
-
-
-def write_version(
-    df: DataFrame, root: str, name: str, run_date: dt.date,
-    partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-) -> str:
-    """Writes the whole table to its run-date folder, replacing what an earlier attempt left there."""
-    if cluster_by:
-        df = df.repartition(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
-    path = run_path(root, name, run_date)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return path
-
-
-def write_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replaces just the partitions that ``df`` holds; ``df`` may read the same table.
-
-    Rows are not shuffled by the partition value, which would give a day to one task; adaptive execution rebalances.
-    """
-    (
-        df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by).parquet(path)
-    )
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def merge_versions(changed: DataFrame, table: str, keys: Sequence[str], update: Sequence[str]) -> None:
     """The gold upsert as a MERGE, for a catalog table whose format supports row-level changes."""
     on = None
@@ -79,12 +45,12 @@ def written(spark: SparkSession, steps: Sequence[str] | None = None) -> Callable
     Written once, read by any executor, and still there when one is lost. ``steps`` names the steps worth writing
     when only part of a run is wanted; all of them by default.
     """
-    folder = f"{shared_folder(spark)}/kinweave/{spark.sparkContext.applicationId}/{next(_runs)}"
+    folder = f"{shared_folder(spark)}/kinweave/{spark.sparkContext.applicationId}"
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if steps is not None and name not in steps:
             return df
-        path = f"{folder}/{name}"
+        path = f"{folder}/{next(_tables)}-{name}"  # Never the same twice: someone may still be reading it.
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.operators import leads
+from kinweave.sources.tables import written
 
 PERSON = "person_id string, first_name string, last_name string, date_of_birth date, email string, mobile string"
 
@@ -131,3 +132,83 @@ def test_em_finds_the_shares_the_data_was_made_with(spark):
     agree = [w.m for w in weights if w.level == 3]
     assert agree == pytest.approx([0.9] * 5, abs=0.01)
     assert leads.weights_table(spark.createDataFrame(rows, schema), weights).count() == 20
+
+
+def pair_form(compared, weights, prior):
+    scored = leads.lead_classify(leads.lead_score(compared, weights, prior))
+    return {(r["lead_id"], r["person_id"]): (round(r["match_weight"], 9), r["link_class"])
+            for r in scored.collect() if r["link_class"] != leads.NO_LINK}
+
+
+WEIGHTS = [leads.Weight(f, level, m, u) for f in leads.FIELDS
+           for level, m, u in ((3, 0.80, 0.02), (2, 0.10, 0.02), (1, 0.05, 0.06), (0, 0.05, 0.90))]
+
+
+def test_review_by_classes_equals_the_pair_form(people):
+    """Each person three times under other ids, so that classes have several members; unknown and blank fields stay apart."""
+    left, right = (side.crossJoin(side.sparkSession.range(3)).withColumn("person_id", F.concat_ws("-", "person_id", "id")).drop("id")
+                   for side in people)
+    sides = leads.lead_classes(left), leads.lead_classes(right)
+    assert 0 < sides[0].classes.count() <= people[0].drop("person_id").distinct().count()
+    keep = written(left.sparkSession)
+    pairs = keep("class_pairs", leads.class_pairs(*sides, keep))
+    compared = keep("compared", leads.lead_compare(keep("pairs", leads.lead_blocks(left, right)), keep))
+    assert pairs.agg(F.sum("pair_count")).first()[0] == compared.count()
+    for prior in (0.001, 0.05):
+        review = leads.lead_review(*sides, leads.lead_score(pairs, WEIGHTS, prior)).collect()
+        got = {(r["lead_id"], r["person_id"]): (round(r["match_weight"], 9), r["link_class"]) for r in review}
+        assert len(got) == len(review) and got == pair_form(compared, WEIGHTS, prior)
+    assert got
+    patterns = {tuple(r[c] for c in leads.level_columns()): r["pair_count"] for r in leads.lead_patterns(pairs, "pair_count").collect()}
+    plain = leads.lead_patterns(compared).collect()
+    assert patterns == {tuple(r[c] for c in leads.level_columns()): r["pair_count"] for r in plain}
+
+
+def test_one_mobile_of_100_000_people(spark):
+    """A block of 2.5 thousand million pairs: classes are compared, and few pairs are likely enough to be expanded."""
+    def people(side, count):
+        return spark.range(count).selectExpr(
+            f"concat('{side}', id) AS person_id", "concat('First', chr(CAST(65 + id % 20 AS INT)), id % 20) AS first_name",
+            f"concat(chr(CAST(65 + id % 17 AS INT)), 'last{side}', id % 17) AS last_name",
+            "CASE WHEN id < 10 THEN DATE'1990-01-01' END AS date_of_birth",
+            "CASE WHEN id < 10 THEN concat('mail', id, '@example.com') END AS email", "'+971501234567' AS mobile")
+
+    sides = leads.lead_classes(people("L", 50_000)), leads.lead_classes(people("P", 50_000))
+    keep = written(spark)
+    pairs = keep("class_pairs", leads.class_pairs(*sides, keep))
+    assert pairs.count() <= 360 * 360 and pairs.agg(F.sum("pair_count")).first()[0] == 50_000 ** 2
+    found = leads.lead_review(*sides, leads.lead_score(pairs, WEIGHTS, 1e-6))
+    likely = {(r["lead_id"], r["person_id"]) for r in found.limit(1000).collect()}
+    assert {(f"L{i}", f"P{i}") for i in range(10)} <= likely and len(likely) <= 100
+
+
+def test_similarity_runs_once_for_each_two_values(spark, monkeypatch):
+    """Rows that reach the UDF: the distinct unequal values of each field, not the pairs."""
+    from kinweave.functions import similarity
+
+    reached = spark.sparkContext.accumulator(0)
+    build = similarity.jaro_winkler
+
+    def counted(left, right):
+        def count(values):
+            reached.add(int(values.notna().sum()))
+            return values
+        return build(F.pandas_udf(count, "string")(left), right)
+
+    monkeypatch.setattr(leads, "jaro_winkler", counted)
+    fields = "first_name string, last_name string, date_of_birth string, email string, mobile string"
+    data = [(f"L{i}", f"P{i}", (f"Anna{i % 3}", None, "1990-01-01", f"m{i % 2}", "5"), (f"Ana{i % 2}", "x", "1990-01-01", f"n{i % 5}", "6"))
+            for i in range(600)]
+    pairs = spark.createDataFrame(data, f"lead_id string, person_id string, lead struct<{fields}>, person struct<{fields}>").repartition(5)
+    values = leads.value_levels(leads.value_pairs(pairs))
+    values.write.format("noop").mode("overwrite").save()
+    assert reached.value == 6 + 10 + 1  # first names, e-mails, mobiles; birth dates are equal, last names unknown
+    assert values.agg(F.sum("pair_count")).first()[0] == 600 * 4
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
+def test_review_end_to_end(case):
+    found = leads.review_leads(case.fx.fx_lead, case.fx.fx_person, case.keep)
+    assert found.columns == ["lead_id", "person_id", "match_weight", "match_probability", "link_class"]
+    assert found.filter("match_probability < 0.8 OR link_class = 'NO_LINK'").isEmpty()

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from checks.fixtures import RUN_DATE
-from kinweave.operators import golden, survivorship
+from kinweave.operators import golden, skew, survivorship
 from kinweave.schemas import GOLDEN, conform_schema, fill_columns, schema_violations
 from kinweave.sources.rules import DEFAULT_RULES, Rule, check_rules, rules_table, survivorship_rules
 
@@ -83,34 +83,43 @@ def test_lineage_flags(fragments):
     assert flags["null never wins"] == (False, False)
 
 
-def test_hot_group_is_ranked_in_pieces(spark, monkeypatch, rows):
-    """A third of all rows in one group: same ranks and counts, and no window over the whole group."""
-    from kinweave.operators import skew
-
+@pytest.mark.parametrize("ranges", [1, 4, 37])
+def test_ranks_do_not_depend_on_ranges(spark, rows, ranges):
+    """A third of all rows in one group, with ties but for the record id; against a plain sort."""
     data = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 500) END AS customer_key",
         "CASE WHEN id % 2 = 0 THEN 'COREBANKING' ELSE 'SALESFORCE' END AS source_system",
         "concat('r', lpad(CAST(id * 7919 % 3001 AS STRING), 5, '0')) AS source_record_id",
         "'primary_email' AS attribute_name", "concat('v', id % 40) AS attribute_value", "id % 5 = 0 AS is_verified",
         "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, id % 50) AS source_effective_ts")
-    plain = rows(survivorship.survivorship_ranked(data))
-    monkeypatch.setattr(skew, "HOT_ROWS", 50)
-    cut = survivorship.survivorship_ranked(data)
-    assert rows(cut, *survivorship.survivorship_ranked(data).columns)
-    monkeypatch.setattr(skew, "HOT_ROWS", 100_000)
-    columns = survivorship.survivorship_ranked(data).columns
-    assert rows(cut, *columns) == plain
-
-
-def test_hot_group_really_is_cut(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from kinweave.operators import skew
-
-    monkeypatch.setattr(skew, "HOT_ROWS", 50)
-    keyed = spark.range(2000).selectExpr("'hot' AS _group", "struct(id AS a, concat('x', id) AS b) AS _sort")
-    cuts = skew._split_points(keyed).select(F.size("_cuts")).first()[0]
-    assert 20 <= cuts <= 70
+    priority = {r.source_system: r.source_priority for r in DEFAULT_RULES if r.attribute_name == "primary_email"}
+    groups = {}
+    for r in data.collect():
+        if r["source_system"] in priority:
+            groups.setdefault(r["customer_key"], []).append(r)
+    expected = []
+    for key, own in groups.items():
+        own.sort(key=lambda r: (not r["is_verified"], -r["source_effective_ts"].timestamp(), priority[r["source_system"]], r["source_record_id"]))
+        expected += [(key, r["source_record_id"], i, len({x["attribute_value"] for x in own})) for i, r in enumerate(own, 1)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    seen = {}
+
+    def keep(name, df):
+        seen[name] = skew.checkpointed(name, df)
+        return seen[name]
+
+    try:
+        found = survivorship.survivorship_ranked(data, keep=keep)
+        assert rows(found, "customer_key", "source_record_id", "survivor_rank", "distinct_value_count") == sorted(expected, key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = seen["ranked_ranges"].filter("customer_key = 'hot'").groupBy("_range").count().collect()
+    assert len(hot) >= ranges // 3 and max(r["count"] for r in hot) <= 2 * 3000 // ranges
+    windows = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "row_number()" in line and "Window" in line]
+    assert windows and all("_range" in line[line.index("],"):] for line in windows)
 
 
 def test_unlinked_contacts_do_not_make_a_customer(spark, fragments):
