@@ -9,16 +9,19 @@ their letters, digits and the underscore. In doubt nothing is cut.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
 
 #: Texts are encoded in batches of about this many characters; a longer text is cut at safe places.
 BATCH_CHARS = 1 << 21
-#: Units a Python worker remembers before it starts afresh.
-REMEMBERED = 1_200_000
+#: Bytes of units and their encodings that a Python worker remembers, by :func:`_weight`: about as much of its memory.
+REMEMBERED = 160 << 20
 #: Units joined into one string for the tokenizer, and strings in one call.
 JOINED, CALL_TEXTS = 500, 64
 
@@ -26,7 +29,7 @@ _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _UNEVEN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 #: Full stops and commas that do not stand between a word and white space or the end, or beside another mark.
 _ODD_MARK = re.compile(r"(?:^|[^\w]|_)[.,]|[.,](?![ \n]|\Z)")
-_ODD_BARE_MARK = re.compile(r"(?:[^\w\s]|_)[.,]|[.,](?:[^\w\s]|_)")
+_ODD_BARE_MARK = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,]|[.,](?:[^\w\s]|[_\x1c-\x1f])")
 _ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -34,6 +37,8 @@ _ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _KINDS = bytes(
     ord("a") if chr(b).isalnum() and b < 128 else ord(".") if b in b".," else ord(" ") if b in b" \n"
     else ord("!") if chr(b).isspace() and b < 128 else ord("#") for b in range(256))
+#: The same for a tokenizer to which the separators U+001C to U+001F are no white space.
+_BARE_KINDS = bytes(ord("#") if 28 <= b <= 31 else kind for b, kind in enumerate(_KINDS))
 
 
 def segments(text: str, limit: int) -> Iterator[str]:
@@ -71,10 +76,11 @@ def bare_units(text: str) -> list[str]:
 
 
 def _has_odd_bare_mark(text: str) -> bool:
+    """Judged on the text as the tokenizer normalises it, in which a letter may have become one with a mark behind it."""
     if text.isascii():
-        kinds = text.encode().translate(_KINDS)
+        kinds = text.encode().translate(_BARE_KINDS)
         return b"#." in kinds or b".#" in kinds or b".." in kinds
-    return _ODD_BARE_MARK.search(text) is not None
+    return _ODD_BARE_MARK.search(unicodedata.normalize("NFC", text).lower()) is not None
 
 
 def _is_odd(text: str) -> tuple[bool, bool]:
@@ -109,8 +115,17 @@ def loose_units(text: str) -> tuple[list[str], list[str]]:
     return plain, spaced
 
 
+def _weight(unit: str, value: object) -> int:
+    """Bytes that a remembered unit takes, with its place in a table that is at worst a third full."""
+    return sys.getsizeof(unit) + (sys.getsizeof(value) if isinstance(value, bytes) else 0) + 104
+
+
 class _Known:
-    """What is known of units. ``split`` finds the places of the joined words in a list of token ids."""
+    """What is known of units. ``split`` finds the places of the joined words in a list of token ids.
+
+    Two generations share the memory: when the younger holds half of it, it becomes the older, whose units are moved on as
+    they turn up again, and what the older one still held is forgotten. So frequent units stay, whatever the texts.
+    """
 
     def __init__(
         self, tokenizer, lead: str, joint: str, split: Callable[[np.ndarray], list[tuple[int, int]]],
@@ -118,12 +133,18 @@ class _Known:
     ):
         self.tokenizer, self.lead, self.joint, self.split, self.value = tokenizer, lead, joint, split, value
         self.of: dict[str, object] = {}
+        self.older: dict[str, object] = {}
+        self.held = 0
 
     def learn(self, units: set[str]) -> None:
+        """From here to the next call ``of`` has every one of ``units``."""
+        if 2 * self.held > REMEMBERED:
+            self.older, self.of, self.held = self.of, {}, 0
         new = units.difference(self.of)
-        if len(self.of) + len(new) > REMEMBERED:
-            self.of.clear()
-            new = units
+        if self.older:
+            for unit in new.intersection(self.older):
+                self._keep(unit, self.older[unit])
+            new = new.difference(self.of)
         words = [u for u in new if u.isalpha()]
         rest = [u for u in new if not u.isalpha()]
         runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
@@ -131,11 +152,15 @@ class _Known:
             places = self.split(ids)
             if len(places) == len(run):
                 for word, (a, b) in zip(run, places, strict=True):
-                    self.of[word] = self.value(ids[a:b])
+                    self._keep(word, self.value(ids[a:b]))
             else:
                 rest += run
         for unit, ids in zip(rest, self._ids([self.lead + u for u in rest]), strict=True):
-            self.of[unit] = self.value(ids)
+            self._keep(unit, self.value(ids))
+
+    def _keep(self, unit: str, value: object) -> None:
+        self.of[unit] = value
+        self.held += _weight(unit, value)
 
     def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, len(texts), CALL_TEXTS):
@@ -144,6 +169,8 @@ class _Known:
 
 
 def _tokenizer(path: str):
+    # A task has one core; further threads would only take memory of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
