@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import AS_OF, RUN_DATE, TOKEN_KEY, Fixtures
+from checks.fixtures import AS_OF, RUN_DATE, TOKEN_KEY, TOKEN_KEY_2, Fixtures
 from kinweave.functions import keys, masks, tokens
 from kinweave.operators import (
     devices, exceptions, gold, golden, history, leads, links, masking, quality, serving, standardise, survivorship,
@@ -249,6 +249,10 @@ QUERIES: dict[str, Callable[[Case], DataFrame]] = {
     "dq_relationships": _relationships,
     "dq_accepted_values": lambda c: quality.dq_accepted_values(
         c.run.contact_norm, "contact_type_code", ["EMAIL", "MOBILE"]),
+    "cast_rejects": lambda c: quality.Casts(
+        c.fx.fx_document, "dim_identification_document", "party_key", {"doc_number": (F.col("doc_number"), "bigint")}).rejects,
+    "token_bridge": lambda c: standardise.token_bridge(
+        c.fx.fx_party, c.fx.fx_document, c.tokenizer, tokens.native_tokenizer(TOKEN_KEY_2, 2)),
     "conform_schema": lambda c: _versions(conform_schema(c.dim_new)),
     "lead_rows": lambda c: leads.lead_rows(c.fx.fx_sf_account, c.run.contact_norm),
     "person_rows": lambda c: leads.person_rows(c.run.snapshot),

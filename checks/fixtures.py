@@ -17,6 +17,7 @@ from kinweave.schemas import EXCEPTION, fill_columns
 RUN_DATE = dt.date(2024, 1, 5)
 AS_OF = dt.datetime(2024, 1, 6)
 TOKEN_KEY = b"fixture-key"
+TOKEN_KEY_2 = b"the key that follows it"
 
 
 @dataclasses.dataclass(frozen=True)

@@ -65,6 +65,32 @@ class Measured:
             raise QualityError(f"rows that fail a check: {broken}")
 
 
+class Casts:
+    """A ledger of texts that are no value of their column's type, which a cast would turn into NULL unseen.
+
+    ``casts`` names for each column its text and its type. ``rejects`` has a row for each text that fails; all texts are
+    counted in the same pass, so that a share of failures can be too much.
+    """
+
+    def __init__(self, df: DataFrame, table: str, key: str, casts: dict[str, tuple[Column, str]]):
+        self._seen = Observation()
+        given = [F.count(text) for text, _ in casts.values()]
+        failed = {c: text.isNotNull() & text.try_cast(kind).isNull() for c, (text, kind) in casts.items()}
+        observed = df.observe(
+            self._seen, sum(given[1:], given[0]).alias("given"),
+            sum((F.count_if(f) for f in failed.values()), F.lit(0)).alias("failed"))
+        rows = [F.when(failed[c], F.struct(
+            F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.lit(c).alias("column_name"),
+            text.alias("raw_text"), F.lit(f"not a {kind}").alias("reason"))) for c, (text, kind) in casts.items()]
+        self.rejects = observed.select(F.inline(F.array_compact(F.array(*rows))))
+
+    def require_share(self, limit: float) -> None:
+        """Fails the run if more than ``limit`` of the texts failed. Call it once the ledger is written."""
+        counts = self._seen.get
+        if counts["failed"] > limit * counts["given"]:
+            raise QualityError(f"{counts['failed']} of {counts['given']} texts do not fit their type; {limit:.2%} may")
+
+
 def require_clean(offending: DataFrame, check: str, show: int = 5) -> None:
     """Fails the run if the check found anything; reads no more than ``show`` rows."""
     rows = offending.take(show)

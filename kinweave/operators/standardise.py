@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions import text
 from kinweave.functions.tokens import Tokenizer
+from kinweave.operators import skew
 
 # Token types.
 EID_TOKEN = "EID"
@@ -52,3 +53,24 @@ def contact_points_norm(contact_point: DataFrame) -> DataFrame:
             "is_primary", "is_verified", "is_deleted", "source_effective_ts",
         )
     )
+
+
+def token_bridge(party: DataFrame, document: DataFrame, old: Tokenizer, new: Tokenizer) -> DataFrame:
+    """``old_token, new_token`` of every anchor document, from the source, for a change of the tokens' key.
+
+    A token cannot be turned into another; both are computed from the number, in one pass. A token stands for one number, so the pairs are
+    unique on either side.
+    """
+    def both(kind: str | Column, number: Column) -> Column:
+        return F.concat_ws("\u0001", old(kind, number), new(kind, number))
+
+    pair = F.split(F.col("anchor_token"), "\u0001")
+    return anchor_documents(party, document, both).filter("anchor_token <> ''").select(
+        pair[0].alias("old_token"), pair[1].alias("new_token")).distinct()
+
+
+def retokenised(df: DataFrame, bridge: DataFrame, column: str) -> DataFrame:
+    """``df`` with the old tokens of ``column`` replaced by the new ones; one whose document is gone stays."""
+    answers = bridge.select(F.col("old_token").alias(column), F.col("new_token").alias("_new_token"))
+    found = skew.lookup(df, answers, column)
+    return found.select(*[F.coalesce("_new_token", column).alias(c) if c == column else F.col(c) for c in df.columns])

@@ -54,12 +54,14 @@ class Inputs:
 class Settings:
     """Choices a run leaves to its owner. ``close_missing``: a link or golden record whose source is gone is closed.
     ``require_verified``: only verified documents anchor a CIF. ``exclude_quarantined``: logins of quarantined links
-    tie no device. ``review_leads``: leads are matched with customers and likely pairs written for review."""
+    tie no device. ``review_leads``: leads are matched with customers and likely pairs written for review.
+    ``reject_share``: part of the texts that may fail their cast before the run does."""
 
     close_missing: bool = False
     require_verified: bool = False
     exclude_quarantined: bool = False
     review_leads: bool = False
+    reject_share: float = 0.01
 
 
 @dataclasses.dataclass
@@ -70,9 +72,22 @@ class DailyRun:
     rules: Sequence[Rule] = DEFAULT_RULES
     keep: Keep = keep_nothing
     settings: Settings = Settings()
+    #: The tokenizer of the previous run, on the day the key of the tokens changes.
+    previous_tokenizer: Tokenizer | None = None
 
     # Links are computed from the old xref once; every later step reads the new one.
 
+    @cached_property
+    def token_bridge(self) -> DataFrame:
+        return self.keep("token_bridge", standardise.token_bridge(
+            self.inputs.party(), self.inputs.document(), self.previous_tokenizer, self.tokenizer))
+
+    def _golden(self, versions: Versions) -> DataFrame:
+        """Current golden records with today's tokens: a new key for tokens is no change of the customer."""
+        if self.previous_tokenizer is None:
+            return versions.current()
+        return standardise.retokenised(versions.current(), self.token_bridge, "emirates_id_token")
+
     @cached_property
     def anchors(self) -> DataFrame:
         return standardise.anchor_documents(self.inputs.party(), self.inputs.document(), self.tokenizer)
@@ -151,7 +166,7 @@ class DailyRun:
     @cached_property
     def dim_day(self) -> DataFrame:
         return self.keep("dim_customer", golden.golden_merge(
-            self.snapshot, self.inputs.dim_customer.current(), self.run_date, self.settings.close_missing))
+            self.snapshot, self._golden(self.inputs.dim_customer), self.run_date, self.settings.close_missing))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -212,7 +227,7 @@ class DailyRun:
         since = self.run_date - dt.timedelta(days=devices.LATE_DAYS)
         lately = self.inputs.dim_customer.closed(since).unionByName(self.dim_day)
         return self.keep("gold", gold.gold_merge(
-            self.inputs.gold.current(), self.inputs.gold.closed(since), gold.gold_changed_versions(lately, self.run_date)))
+            self._golden(self.inputs.gold), self.inputs.gold.closed(since), gold.gold_changed_versions(lately, self.run_date)))
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -22,9 +22,9 @@ from kinweave.operators.gold import VERSION_KEY
 from kinweave.operators.golden import SNAPSHOT_COLUMNS
 from kinweave.operators.history import XREF_KEYS
 from kinweave.operators.links import R1_EID, R1_PASSPORT, R2, R3
-from kinweave.operators.quality import Measured, dq_relationships, dq_unique, is_incomplete, is_unknown, require_clean
+from kinweave.operators.quality import Casts, Measured, dq_relationships, dq_unique, is_incomplete, is_unknown, require_clean
 from kinweave.plans.daily import DailyRun, Inputs, Settings
-from kinweave.schemas import BRIDGE, EXCEPTION, GOLDEN, LEAD_REVIEW, LINEAGE, OPEN_SUBJECT, STITCH, XREF, conform_schema
+from kinweave.schemas import BRIDGE, EXCEPTION, GOLDEN, LEAD_REVIEW, LINEAGE, OPEN_SUBJECT, REJECT, STITCH, XREF, conform_schema
 from kinweave.sources.publication import Attempt, Manifest, Versions, _Files, published, read_folders, read_versions
 from kinweave.sources.rules import DEFAULT_RULES, Rule
 from kinweave.sources.tables import read_table
@@ -33,7 +33,7 @@ from kinweave.sources.tables import read_table
 HISTORY = {"xref": (XREF, XREF_KEYS), "dim_customer": (GOLDEN, ("customer_key",)), "gold": (GOLDEN, VERSION_KEY)}
 #: Tables without history; the queue and the stitches have a slot for each date.
 PLAIN = {
-    "bridge": BRIDGE, "lineage": LINEAGE, "lead_review": LEAD_REVIEW, "open_subjects": OPEN_SUBJECT, "queue": EXCEPTION,
+    "bridge": BRIDGE, "lineage": LINEAGE, "lead_review": LEAD_REVIEW, "cast_rejects": REJECT, "open_subjects": OPEN_SUBJECT, "queue": EXCEPTION,
     "stitches": STITCH}
 #: Buckets of the tables with history, once and for all: each should take a few hundred MB.
 BUCKETS = 200
@@ -125,14 +125,23 @@ def _checks(run: DailyRun) -> None:
 
 def run_day(
     spark: SparkSession, root: str, run_date: dt.date, tokenizer: Tokenizer, rules: Sequence[Rule] = DEFAULT_RULES,
-    settings: Settings = Settings(), buckets: int = BUCKETS,
+    settings: Settings = Settings(), buckets: int = BUCKETS, previous_tokenizer: Tokenizer | None = None,
 ) -> Manifest:
-    """Resolves one date from what is published for the date before it. Nothing is published unless the quality checks pass."""
+    """Resolves one date from what is published for the date before it. Nothing is published unless the quality checks pass.
+
+    On the first date under a new key of the tokens, ``previous_tokenizer`` is that of the old key.
+    """
     previous = published(spark, root, before=run_date)
     attempt = Attempt(spark, root, run_date, previous, buckets)
     try:
         run = DailyRun(
-            open_inputs(spark, root, previous, run_date), run_date, tokenizer, rules, _Writer(attempt).keep, settings)
+            open_inputs(spark, root, previous, run_date), run_date, tokenizer, rules, _Writer(attempt).keep, settings,
+            previous_tokenizer)
+        if "date_of_birth" in run.survivors.columns:
+            casts = Casts(run.survivors, "dim_customer", "customer_key", {
+                "date_of_birth": (F.col("date_of_birth.attribute_value"), "date")})
+            attempt.whole("cast_rejects", casts.rejects)
+            casts.require_share(settings.reject_share)
         attempt.whole("lineage", run.lineage)
         attempt.by_day("stitches", run.new_stitches, "event_date")
         attempt.whole("open_subjects", run.open_subjects)

@@ -78,6 +78,9 @@ LEAD_REVIEW = T.StructType([
     T.StructField("link_class", T.StringType()),
 ])
 
+REJECT = T.StructType([
+    T.StructField(n, T.StringType()) for n in ("table_name", "row_key", "column_name", "raw_text", "reason")])
+
 LINEAGE = T.StructType([
     T.StructField("customer_key", T.StringType()),
     T.StructField("attribute_name", T.StringType()),

@@ -167,3 +167,24 @@ def test_consent_gate(spark):
 def test_risk_features(case):
     features = serving.car_risk_features(case.fx.fx_car_daily)
     assert len(features.columns) == 24 and not set(features.columns) & set(serving.NEVER_FOR_CREDIT)
+
+
+def test_policies_from_csv(spark, case, rows, tmp_path):
+    """The default policies from a file mask as those in code; a file with a mistake is refused, with the mistake named."""
+    from kinweave.sources.policies import masking_policies, policies_table
+
+    policies_table(spark).coalesce(1).write.option("header", True).csv(f"{tmp_path}/policies")
+    loaded = masking_policies(spark, f"{tmp_path}/policies")
+    assert sorted(loaded) == sorted(masking.DEFAULT_POLICIES)
+    for roles in ((), (masking.T2,)):
+        assert rows(masking.masked_view(case.run.snapshot, roles, loaded)) == rows(masking.masked_view(case.run.snapshot, roles))
+    for line, message in (
+        ("mask_all,full_name,PUBLIC,0", "unknown mask"), ("mask_name,shoe_size,PUBLIC,0", "unknown column"),
+        ("mask_name,full_name,,0", "incomplete"), ("mask_name,date_of_birth,PUBLIC,0", "does not fit"),
+        ("mask_dob_year,full_name,PUBLIC,0", "does not fit"), ("show_varchar,full_name,t2_operational,20", "lacks one for PUBLIC"),
+        ("mask_name,full_name,PUBLIC,0\nredact_varchar,full_name,PUBLIC,0", "two policies"),
+    ):
+        path = tmp_path / f"{abs(hash(line))}.csv"
+        path.write_text(f"mask,column,grantee,priority\n{line}\n")
+        with pytest.raises(ValueError, match=message):
+            masking_policies(spark, str(path))

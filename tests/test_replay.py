@@ -7,11 +7,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from checks.fixtures import TOKEN_KEY
+from checks.fixtures import TOKEN_KEY, TOKEN_KEY_2
 from kinweave.functions.tokens import native_tokenizer
 from kinweave.operators.gold import gold_merge
 from kinweave.operators.history import XREF_KEYS, xref_scd2_merge
-from kinweave.operators.quality import Measured, QualityError, dq_unique, is_incomplete, is_unknown
+from kinweave.operators.quality import Casts, Measured, QualityError, dq_unique, is_incomplete, is_unknown
 from kinweave.plans.daily import Settings, register_views
 from kinweave.plans.warehouse import HISTORY, PLAIN, events, golden_view, history, run_day, state
 from kinweave.schemas import LEAD_REVIEW, LINK
@@ -209,6 +209,52 @@ def test_resolved_exceptions_may_be_raised_again(spark, case, warehouse):
     assert state(spark, warehouse, published(spark, warehouse), "queue", day + dt.timedelta(days=1)).count() == 2
 
 
+def test_a_new_token_key_changes_no_customer(spark, case, warehouse):
+    """A day under key version 2 after one under version 1: no link or record is closed, and every token is of version 2."""
+    before = published(spark, warehouse)
+    day = before.run_date + dt.timedelta(days=1)
+    after = run_day(
+        spark, warehouse, day, native_tokenizer(TOKEN_KEY_2, 2), previous_tokenizer=native_tokenizer(TOKEN_KEY))
+    for table in HISTORY:
+        assert day.isoformat() not in after.tables[table]
+    keys = ("source_id", "customer_key", "is_quarantined", "valid_from_ts")
+    links = [rows_of(state(spark, warehouse, m, "xref").select(*keys)) for m in (before, after)]
+    assert links[0] == links[1]
+    for table in ("dim_customer", "gold"):
+        found = [history(spark, warehouse, m, table).current() for m in (before, after)]
+        assert rows_of(found[0].drop("emirates_id_token")) == rows_of(found[1].drop("emirates_id_token"))
+        tokens = found[1].filter("emirates_id_token IS NOT NULL")
+        assert tokens.count() == found[0].filter("emirates_id_token LIKE 'EID_v1_%'").count() > 0
+        assert tokens.filter("emirates_id_token NOT LIKE 'EID_v2_%'").isEmpty()
+
+
+def test_failed_casts_are_told_and_may_be_too_many(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("a", "1990-01-01", "1"), ("b", "1990-13-01", None), ("c", None, "x"), ("d", "2000-02-29", "2")], "k string, born string, n string")
+    casts = Casts(df, "people", "k", {"born": (F.col("born"), "date"), "n": (F.col("n"), "int")})
+    casts.rejects.write.parquet(f"{tmp_path}/t")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [
+        ("people", "b", "born", "1990-13-01", "not a date"), ("people", "c", "n", "x", "not a int")]
+    casts.require_share(2 / 6)
+    with pytest.raises(QualityError, match="2 of 6 texts"):
+        casts.require_share(0.3)
+
+
+def test_a_run_fails_on_too_many_failed_casts(spark, case, warehouse):
+    """A source that delivers birth dates as text, some of them wrong: told in the ledger up to the share, fatal beyond it."""
+    before = published(spark, warehouse)
+    day = before.run_date + dt.timedelta(days=1)
+    wrong = case.fx.fx_party.withColumn("date_of_birth", F.when(
+        F.col("cif_id").endswith("7"), "31/12/1990").otherwise(F.col("date_of_birth").cast("string")))
+    wrong.write.mode("overwrite").parquet(f"{warehouse}/source/dim_party")
+    try:
+        with pytest.raises(QualityError, match="texts do not fit their type"):
+            run_day(spark, warehouse, day, native_tokenizer(TOKEN_KEY_2, 2))
+        assert published(spark, warehouse).run_date == before.run_date
+    finally:
+        case.fx.fx_party.write.mode("overwrite").parquet(f"{warehouse}/source/dim_party")
+
+
 def test_checks_are_counted_while_writing(spark, tmp_path):
     df = spark.range(10).withColumn("v", F.when(F.col("id") > 7, F.lit("x")))
     measured = Measured(df, {"no v": is_incomplete(["v"]), "odd": is_unknown("v", ["x"])})
