@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.llm import wordhash
+from kinweave.llm.names import free
 from kinweave.llm.wordhash import ALPHANUMERIC, Words
 
 WINDOW_WORDS = 13
@@ -192,13 +193,14 @@ def _by_blocks(rows: DataFrame, windows: DataFrame, n_blocks: int) -> DataFrame:
 
 def without_spans(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with the bytes of every hit run cut from the text; ids must be unique. Other texts are untouched."""
-    hits = found.filter(F.size("spans") > 0).select(F.col(id_column).alias("_hit"), F.array_sort("spans").alias("_spans"))
+    hit, spans = free("_hit", docs), free("_spans", docs)
+    hits = found.filter(F.size("spans") > 0).select(F.col(id_column).alias(hit), F.array_sort("spans").alias(spans))
     text = F.col(text_column).cast("binary")
     kept = F.transform(
-        F.concat(F.array(F.lit(0).cast("long")), F.col("_spans.end_byte")),
+        F.concat(F.array(F.lit(0).cast("long")), F.col(f"{spans}.end_byte")),
         lambda start, i: F.substring(
             text, (start + 1).cast("int"),
-            (F.coalesce(F.get(F.col("_spans.first_byte"), i), F.octet_length(text).cast("long")) - start).cast("int")))
-    cut = F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(
+            (F.coalesce(F.get(F.col(f"{spans}.first_byte"), i), F.octet_length(text).cast("long")) - start).cast("int")))
+    cut = F.when(F.col(spans).isNull(), F.col(text_column)).otherwise(
         F.aggregate(kept, F.lit(b""), lambda a, x: F.concat(a, x)).cast("string"))
-    return docs.join(hits, F.col(id_column) == F.col("_hit"), "left").withColumn(text_column, cut).drop("_hit", "_spans")
+    return docs.join(hits, F.col(id_column) == F.col(hit), "left").withColumn(text_column, cut).drop(hit, spans)

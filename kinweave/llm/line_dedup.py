@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm.names import free
 from kinweave.llm.scratch import stored
 
 #: Lines with at least this part of their united words in common are near equal.
@@ -164,17 +165,19 @@ def without_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_colu
     in lower case, share ``SIMILAR_PERCENT`` of the union with those of an earlier line, whether that one stays or not;
     lines without any word stay. A null text stays null and has no lines; an empty one has one.
     Rows with a null id lose nothing and cause no loss; rows that repeat an id are one document, equal in text. The other
-    columns are passed on.
+    columns are passed on, but one called ``n_lines`` or ``n_removed`` gives way.
     """
+    docs = docs.drop("n_lines", "n_removed")
     rows = docs.filter(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     gone = stored(
-        repeated_lines(rows).distinct().groupBy("_id").agg(F.collect_set("line_no").alias("_gone"))
-        .withColumnRenamed("_id", "_gone_id"), "line-removed")
+        repeated_lines(rows).distinct().groupBy("_id").agg(F.collect_set("line_no").alias("_gone")), "line-removed")
+    of, places = free("_gone_id", docs), free("_gone", docs)
+    gone = gone.select(F.col("_id").alias(of), F.col("_gone").alias(places))
     lines = F.split(text_column, "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    return docs.join(gone, F.col(id_column) == F.col("_gone_id"), "left").select(
-        *[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_column else F.col(c)
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(places, i)), "\n")
+    return docs.join(gone, F.col(id_column) == F.col(of), "left").select(
+        *[F.when(F.col(places).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_column else F.col(c)
           for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"))
+        F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).cast("long").alias("n_removed"))

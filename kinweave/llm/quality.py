@@ -57,9 +57,10 @@ def text_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
     Words are runs without ASCII white space; lines are split at line feeds and count if they hold a word; a repeated
     word lies in a window of five words that occurs twice or more in the text, the first time included. Null and empty
-    texts count nothing.
+    texts count nothing. A column of ``docs`` called like one of the counts gives way.
     """
-    others = [c for c in docs.columns if c != text_column]
+    counts = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+    others = [c for c in docs.columns if c != text_column and c.lower() not in counts]
     text = F.coalesce(F.col(text_column), F.lit(""))
     bare = F.btrim(text, F.lit(_SPACES))
     split = docs.select(

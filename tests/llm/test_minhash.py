@@ -18,7 +18,7 @@ def brute_sets(texts):
     return out
 
 
-def brute_components(ids, sets):
+def brute_components(ids, sets, percent=85):
     parent = {i: i for i in ids}
 
     def root(x):
@@ -29,12 +29,12 @@ def brute_components(ids, sets):
     order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
     for k, i in enumerate(order):
         for j in order[k + 1:]:
-            if not sets[i] or 100 * len(sets[i]) < 85 * len(sets[j]):
+            if not sets[i] or 100 * len(sets[i]) < percent * len(sets[j]):
                 if sets[i]:
                     break
                 continue
             shared = len(sets[i] & sets[j])
-            if 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared):
+            if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
                 a, b = sorted((root(ids[i]), root(ids[j])))
                 parent[b] = a
     return {i: root(i) for i in ids}

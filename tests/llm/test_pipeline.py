@@ -53,7 +53,7 @@ def test_lines(steps):
 def test_near_duplicates(steps):
     before, after = rows(steps["line_dedup"]), rows(steps["minhash"])
     component = test_minhash.brute_components(
-        list(before), test_minhash.brute_sets([r.text for r in before.values()]))
+        list(before), test_minhash.brute_sets([r.text for r in before.values()]), corpus_pipeline.NEAR_PERCENT)
     assert after == {i: r for i, r in before.items() if component[i] == i}
 
 
