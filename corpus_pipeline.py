@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kinweave.llm import decontaminate, line_dedup, minhash, toxicity
 from kinweave.llm.catalog import TOXIC_SCORE, packed_documents, table, training_labels
+from kinweave.llm.names import aside, free
 from kinweave.llm.scratch import stored
 
 #: Documents whose shingle sets share this part of their union are near duplicates.
@@ -27,18 +28,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that nearly equal an earlier one; a document left without any word goes."""
-    cut = line_dedup.without_repeated_lines(docs)
+    rows, back = aside(docs, "n_lines", "n_removed")
+    cut = line_dedup.without_repeated_lines(rows)
     changed = F.col("n_removed") > 0
     rest = cut.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return rest.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(
-        *docs.columns)
+    rest = rest.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return back(rest).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
     found = minhash.near_duplicates(docs, percent=NEAR_PERCENT)
-    ids = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
-    return docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
+    rejected = free("_rejected", docs)
+    ids = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias(rejected)).distinct(), "rejected")
+    return docs.join(ids, F.col("doc_id") == F.col(rejected), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +51,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     digest = F.sha2("text", 256)
     texts = docs.select(digest.alias("_rejected"), "text")
     found = decontaminate.contamination(texts, windows, "_rejected").filter("contaminated")
-    rejected = stored(found.select("_rejected").distinct(), "rejected")
-    return docs.join(rejected, digest == F.col("_rejected"), "left_anti")
+    name = free("_rejected", docs)
+    rejected = stored(found.select(F.col("_rejected").alias(name)).distinct(), "rejected")
+    return docs.join(rejected, digest == F.col(name), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
