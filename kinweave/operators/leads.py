@@ -143,23 +143,24 @@ def value_levels(values: DataFrame) -> DataFrame:
 
 
 def lead_compare(pairs: DataFrame, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Level of agreement per field.
+    """``lead_id, person_id`` and the level of agreement per field, for pairs that are there once.
 
-    The dictionary of values that are close or near is looked up for each field; of the others the rows themselves tell. ``keep``
-    writes it once, see :func:`kinweave.sources.tables.written`; else each lookup computes it.
+    Each pair tells its equal and its unknown fields itself; for the others the dictionary of values that are close or near is looked up
+    once, in narrow rows, and a pair's fields meet in one aggregation. ``keep`` writes the dictionary, see
+    :func:`kinweave.sources.tables.written`.
     """
     alike = value_levels(value_pairs(pairs).filter("a <> b")).filter(F.col("level") != DIFFERENT).select(
-        "field", F.concat("a", F.lit("\u0001"), "b").alias("_values"), "level")
+        F.concat_ws("\u0001", "field", "a", "b").alias("_values"), F.col("level").alias("_alike"))
     alike = keep("lead_values", alike) if keep else alike
-    found = pairs
-    for f in FIELDS:
-        asked = F.expr(f"CASE WHEN lead.{f} <> person.{f} THEN concat(lead.{f}, '\u0001', person.{f}) END")
-        answers = alike.filter(F.col("field") == f).select("_values", F.col("level").alias(f"{f}_alike"))
-        found = skew.lookup(found.withColumn("_values", asked), answers, "_values").drop("_values")
-    return found.selectExpr(*[c for c in found.columns if c not in ("lead", "person", "block") and not c.endswith("_alike")], *[
-        f"CASE WHEN lead.{f} IS NULL OR person.{f} IS NULL THEN {UNKNOWN} WHEN lead.{f} = person.{f} THEN {EXACT} "
-        f"ELSE coalesce({f}_alike, {DIFFERENT}) END AS {f}_level"
-        for f in FIELDS])
+    fields = ", ".join(
+        f"struct('{f}' AS _field, CASE WHEN lead.{f} IS NULL OR person.{f} IS NULL THEN {UNKNOWN} WHEN lead.{f} = person.{f} THEN {EXACT} END "
+        f"AS _level, CASE WHEN lead.{f} <> person.{f} THEN concat_ws('\u0001', '{f}', lead.{f}, person.{f}) END AS _values)" for f in FIELDS)
+    long = pairs.selectExpr("lead_id", "person_id", f"inline(array({fields}))")
+    told = long.filter("_values IS NULL").select("lead_id", "person_id", "_field", "_level")
+    asked = skew.lookup(long.filter("_values IS NOT NULL").select("lead_id", "person_id", "_field", "_values"), alike, "_values")
+    found = asked.select("lead_id", "person_id", "_field", F.coalesce("_alike", F.lit(DIFFERENT)).alias("_level"))
+    return told.unionByName(found).groupBy("lead_id", "person_id").agg(*[
+        F.max(F.when(F.col("_field") == f, F.col("_level"))).alias(f"{f}_level") for f in FIELDS])
 
 
 def lead_patterns(compared: DataFrame, count: str | None = None) -> DataFrame:
