@@ -74,7 +74,8 @@ class Case:
 
     @cached_property
     def compared(self) -> DataFrame:
-        return leads.lead_compare(self.keep("lead_pairs", self.pairs), self.keep)
+        pairs = leads.spread(self.pairs, "lead_id", "person_id")
+        return leads.lead_compare(self.keep("lead_pairs", pairs), self.keep)
 
     @cached_property
     def weights(self) -> list[leads.Weight]:

@@ -122,7 +122,7 @@ def lead_block_members(leads: DataFrame, persons: DataFrame) -> DataFrame:
     return skew.lookup(members, both, "_block", "inner").drop("_block")
 
 
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
+def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Rows dealt out to as many tasks as a shuffle has. Adaptive execution goes by bytes and would leave a few MB, and with them
     a million similarities, to one task."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
@@ -137,7 +137,7 @@ def value_pairs(pairs: DataFrame) -> DataFrame:
 def value_levels(values: DataFrame) -> DataFrame:
     """``values`` with the level of agreement of each two: one similarity for each row whose values differ."""
     same = values.filter("a = b").withColumn("level", F.lit(EXACT))
-    scored = _spread(values.filter("a <> b"), "field", "a", "b").withColumn("_jw", jaro_winkler(F.col("a"), F.col("b")))
+    scored = spread(values.filter("a <> b"), "field", "a", "b").withColumn("_jw", jaro_winkler(F.col("a"), F.col("b")))
     level = F.when(F.col("_jw") >= CLOSE_LIMIT, CLOSE).when(F.col("_jw") >= NEAR_LIMIT, NEAR).otherwise(DIFFERENT)
     return same.unionByName(scored.withColumn("level", level).drop("_jw"))
 
@@ -182,7 +182,7 @@ def random_pairs(leads: DataFrame, persons: DataFrame, partners: int = 20, seed:
         key = F.col(f"{side}_id")
         digits = F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.lit(side), key), 256), 1, 12)
         rows = _keyed(people, side).select(key, side, F.pmod(F.conv(digits, 16, 10).cast("long"), buckets).alias("bucket"))
-        return _spread(rows, "bucket")
+        return spread(rows, "bucket")
 
     return drawn(leads, "lead").join(drawn(persons, "person"), "bucket").drop("bucket")
 
@@ -280,7 +280,7 @@ def class_pairs(leads: People, persons: People, keep: Callable[[str, DataFrame],
     Members of a class share every blocking key, so their pairs are exactly those of :func:`lead_blocks`.
     """
     pairs = lead_blocks(leads.classes, persons.classes)
-    pairs = keep("lead_class_pairs", pairs) if keep else pairs
+    pairs = keep("lead_class_pairs", spread(pairs, "lead_id", "person_id")) if keep else pairs
     sizes = [side.classes.select(F.col("person_id").alias(name), F.col("size").alias(f"{name}_size"))
              for side, name in ((leads, "lead_id"), (persons, "person_id"))]
     compared = lead_compare(pairs, keep)
