@@ -16,7 +16,7 @@ def brute(rows):
         for line in text.split("\n"):
             own = {w for w in _split(line.lower()) if w}
             n = len(own)
-            if n >= line_dedup.LEAST_WORDS:
+            if n >= 1:
                 near = any(
                     100 * min(n, len(s)) >= 85 * max(n, len(s)) and 100 * (k := len(own & s)) >= 85 * (n + len(s) - k)
                     for s in sets)
