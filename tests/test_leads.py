@@ -212,3 +212,40 @@ def test_review_end_to_end(case):
     found = leads.review_leads(case.fx.fx_lead, case.fx.fx_person, case.keep)
     assert found.columns == ["lead_id", "person_id", "match_weight", "match_probability", "link_class"]
     assert found.filter("match_probability < 0.8 OR link_class = 'NO_LINK'").isEmpty()
+
+
+def test_large_blocks_are_tiled(people, monkeypatch):
+    """A grid of tiles for each block gives the same pairs, each of them once."""
+    monkeypatch.setattr(leads, "TILE_PEOPLE", 3)
+    found = [(r["lead_id"], r["person_id"]) for r in leads.lead_blocks(*people).collect()]
+    assert len(found) == len(set(found)) and set(found) == set().union(*brute_force(*people).values())
+
+
+def test_pairs_are_neither_shuffled_nor_written(spark):
+    """People are shuffled; above the join of a block's sides nothing is, and no step is written before the result is asked for."""
+    def plan_of(df):
+        df.write.format("noop").mode("overwrite").save()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def keep(name, df):
+        raise AssertionError(f"{name} is written")
+
+    sides = [spark.range(40).selectExpr(
+        f"concat('{side}', id) AS person_id", "'Amina' AS first_name", f"concat('N', id, '{side}') AS last_name",
+        "CAST(NULL AS DATE) AS date_of_birth", "CAST(NULL AS STRING) AS email", "'+971501234567' AS mobile") for side in "LP"]
+    pairs = leads.lead_blocks(*[side.withColumn("repeats", F.lit(False)) for side in sides], ("repeats",))
+    classes = [leads.lead_classes(side) for side in sides]
+    for found in (leads.lead_compare(pairs, keep), leads.class_pairs(*classes, keep)):
+        assert found.count() == 1600
+        plan = plan_of(found)
+        final = plan.split("Initial Plan")[0]
+        assert "Exchange" not in final[:final.index("_columns")] and "BatchEvalPython" not in final and "ArrowEvalPython" in final
+
+
+def test_rows_that_repeat_an_id_are_one_pair_of_ids(people):
+    """The highest level of each field over all pairs of rows with the same two ids, whether or not rows are told to repeat."""
+    left, right = (side.unionByName(side.filter("person_id LIKE '%1'").withColumn("email", F.lit("e1"))).unionByName(side.limit(3)).withColumn(
+        "person_id", F.when(~F.col("person_id").endswith("7"), F.col("person_id"))) for side in people)
+    plain = sorted(map(repr, leads.lead_compare(leads.lead_blocks(left, right)).collect()))
+    told = leads.lead_compare(leads.lead_blocks(leads.told_repeats(left), leads.told_repeats(right), ("repeats",)))
+    assert sorted(map(repr, told.collect())) == plain and len(plain) == told.select("lead_id", "person_id").distinct().count()
