@@ -17,11 +17,13 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are encoded in batches of about this many characters; a longer text is cut at safe places.
 BATCH_CHARS = 1 << 21
 #: Bytes of units and their encodings that a Python worker remembers, by :func:`_weight`: about as much of its memory.
-REMEMBERED = 224 << 20
+REMEMBERED = 160 << 20
 #: Units joined into one string for the tokenizer, and strings in one call.
 JOINED, CALL_TEXTS = 500, 64
 
@@ -29,7 +31,7 @@ _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _UNEVEN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 #: Full stops and commas that do not stand between a word and white space or the end, or beside another mark.
 _ODD_MARK = re.compile(r"(?:^|[^\w]|_)[.,]|[.,](?![ \n]|\Z)")
-_ODD_BARE_MARK = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,]|[.,](?:[^\w\s]|[_\x1c-\x1f])")
+_ODD_BARE_MARK = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=[^\w\s].)|(?<=[_\x1c-\x1f].))")
 _ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -68,11 +70,16 @@ def _batches(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 def bare_units(text: str) -> list[str]:
     """Units in order for a tokenizer that drops white space and case: words, in lower case as far as they are ASCII."""
+    return bare_text(text).split(" ")
+
+
+def bare_text(text: str) -> str:
+    """:func:`bare_units`, with a space between each two."""
     if "<|" not in text:
         text = text.encode().translate(_ASCII_LOWER).decode()
     if not _has_odd_bare_mark(text):
         text = text.replace(".", " . ").replace(",", " , ")
-    return text.replace("\n", " ").split(" ")
+    return text.replace("\n", " ")
 
 
 def _has_odd_bare_mark(text: str) -> bool:
@@ -117,7 +124,13 @@ def loose_units(text: str) -> tuple[list[str], list[str]]:
 
 def _weight(unit: str, value: object) -> int:
     """Bytes that a remembered unit takes, with its place in a table that is at worst a third full."""
-    return sys.getsizeof(unit) + (sys.getsizeof(value) if isinstance(value, bytes) else 0) + 104
+    return _weights([unit], [value])
+
+
+def _weights(units: list[str], values: list) -> int:
+    """The same for many; all values are bytes, or none."""
+    ids = sum(map(sys.getsizeof, values)) if values and isinstance(values[0], bytes) else 0
+    return sum(map(sys.getsizeof, units)) + ids + 104 * len(units)
 
 
 class _Known:
@@ -142,8 +155,8 @@ class _Known:
             self.older, self.of, self.held = self.of, {}, 0
         new = units.difference(self.of)
         if self.older:
-            for unit in new.intersection(self.older):
-                self._keep(unit, self.older[unit])
+            again = list(new.intersection(self.older))
+            self._keep(again, list(map(self.older.__getitem__, again)))
             new = new.difference(self.of)
         words = [u for u in new if u.isalpha()]
         rest = [u for u in new if not u.isalpha()]
@@ -151,16 +164,14 @@ class _Known:
         for run, ids in zip(runs, self._ids([self.joint.join(self.lead + w for w in r) for r in runs]), strict=True):
             places = self.split(ids)
             if len(places) == len(run):
-                for word, (a, b) in zip(run, places, strict=True):
-                    self._keep(word, self.value(ids[a:b]))
+                self._keep(run, [self.value(ids[a:b]) for a, b in places])
             else:
                 rest += run
-        for unit, ids in zip(rest, self._ids([self.lead + u for u in rest]), strict=True):
-            self._keep(unit, self.value(ids))
+        self._keep(rest, [self.value(ids) for ids in self._ids([self.lead + u for u in rest])])
 
-    def _keep(self, unit: str, value: object) -> None:
-        self.of[unit] = value
-        self.held += _weight(unit, value)
+    def _keep(self, units: list[str], values: list) -> None:
+        self.of.update(zip(units, values, strict=True))
+        self.held += _weights(units, values)
 
     def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, len(texts), CALL_TEXTS):
@@ -222,14 +233,20 @@ class IdEncoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         held, done = [], 0
         for run in _batches(texts):
-            cut = [(i, bare_units(piece)) for i, piece in run]
-            self.known.learn(set().union(*(u for _, u in cut)))
-            known = self.known.of.__getitem__
-            for i, units in cut:
+            # Arrow cuts the words, tells which are the same and lines up their ids; Python looks at distinct words only.
+            words = pc.split_pattern(pa.array([bare_text(piece) for _, piece in run], pa.string()), " ")
+            ends = words.offsets.to_numpy()
+            coded = words.flatten().dictionary_encode()
+            units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            self.known.learn(set(units))
+            ids = pa.array(map(self.known.of.__getitem__, units), pa.binary(), size=len(units)).take(coded.indices)
+            _, places, data = ids.buffers()
+            at = np.frombuffer(places, np.int32, len(ids) + 1, 4 * ids.offset)[ends].tolist()
+            for k, (i, _) in enumerate(run):
                 if i > done:
                     yield b"".join(held)
                     held, done = [], i
-                held.append(b"".join(map(known, units)))
+                held.append(data[at[k]:at[k + 1]].to_pybytes() if at[k] < at[k + 1] else b"")
         if texts:
             yield b"".join(held)
 

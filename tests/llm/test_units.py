@@ -64,3 +64,30 @@ def test_memory_is_bounded(monkeypatch):
 def test_segments_join_to_the_text():
     for text in [*ODD, *pieces()]:
         assert "".join(units.segments(text, 7)) == text
+
+
+def test_ids_are_looked_up_once_for_each_distinct_word(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, unit):
+            Counted.asked += 1
+            return super().__getitem__(unit)
+
+    encoder = units.IdEncoder(WORD)
+    encoder.known.of = Counted()
+    texts = ["one two\nthree, two. " * 500, "", "two " * 300]
+    alone = [units.packed(encoder.known.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert list(encoder.encode(texts)) == alone
+    assert Counted.asked <= 8
+
+
+def test_marks_beside_others_are_found_wherever_they_stand():
+    import random
+    import re
+
+    plain = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,]|[.,](?:[^\w\s]|[_\x1c-\x1f])")
+    draw = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(draw.choices("a. ,_\n\x1cé-̇٣", k=draw.randint(0, 6)))
+        assert (units._ODD_BARE_MARK.search(text) is None) == (plain.search(text) is None), text
