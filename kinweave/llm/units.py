@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 #: Texts are encoded in batches of about this many characters; a longer text is cut at safe places.
 BATCH_CHARS = 1 << 21
 #: Bytes of units and their encodings that a Python worker remembers, by :func:`_weight`: about as much of its memory.
-REMEMBERED = 160 << 20
+REMEMBERED = 64 << 20
 #: Units joined into one string for the tokenizer, and strings in one call.
 JOINED, CALL_TEXTS = 500, 64
 

@@ -96,3 +96,23 @@ def test_contaminated_rows_go_by_their_own_text(spark):
         [(None, item, "a"), (None, "clean words", "b"), (5, item, "c"), (5, "clean too", "d"), (6, None, "e"), (None, None, "f")],
         "doc_id long, text string, source string")
     assert sorted(r.source for r in corpus_pipeline.drop_contaminated(spark, docs, SF).collect()) == ["b", "d", "e", "f"]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "minhash", "decontaminate", "packing"])
+def test_workers_get_small_batches(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    wide = spark.range(3_000, numPartitions=1).selectExpr("repeat(cast(id % 10 as string), 10000) text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+        found = [r.n for r in wide.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+    assert sum(found) >= 30_000_000 and max(found) < 2 * corpus_pipeline.BATCH_BYTES
