@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 CELLS = 1 << 20
 
 
-def _build():
+def kernels():
+    """``matrix``, ``chunk`` and ``similarities``, which tasks are sent as they are."""
     import numpy as np
 
     def matrix(texts, pad):
@@ -54,6 +55,32 @@ def _build():
         prefix = np.cumprod(same, axis=1).sum(axis=1)
         return np.where(jaro > 0.7, jaro + 0.1 * prefix * (1.0 - jaro), jaro)
 
+    def similarities(a_texts, b_texts, a_of, b_of):
+        """Of each two texts, given by their places among the texts of either side."""
+        a_len, b_len = (np.array([len(t) for t in texts]) for texts in (a_texts, b_texts))
+        longest = np.maximum(np.maximum(a_len[a_of], b_len[b_of]), 1)
+        order = np.argsort(longest, kind="stable")
+        scores, first = np.empty(len(a_of)), 0
+        while first < len(order):
+            # The longest text of a run comes last: take as many pairs as fit beside it.
+            fits = np.arange(1, len(order) - first + 1) * longest[order[first:]] <= CELLS
+            own = order[first:first + max(1, int(fits.argmin()) if not fits.all() else len(fits))]
+            used = [np.unique(side[own], return_inverse=True) for side in (a_of, b_of)]
+            (a, a_len_), (b, b_len_) = (
+                matrix([texts[k] for k in at], pad) for texts, (at, _), pad in ((a_texts, used[0], -1), (b_texts, used[1], -2)))
+            (_, i), (_, j) = used
+            scores[own] = chunk(a[i], a_len_[i], b[j], b_len_[j])
+            first += len(own)
+        return scores
+
+    return matrix, chunk, similarities
+
+
+def _build():
+    import numpy as np
+
+    *_, similarities = kernels()
+
     def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
         """Similarity is computed once for each two values of the batch."""
         out = np.full(len(left), np.nan)
@@ -61,22 +88,7 @@ def _build():
         if known.any():
             (a_of, a_texts), (b_of, b_texts) = (pd.factorize(side[known].to_numpy(dtype=object)) for side in (left, right))
             pairs, place = np.unique(a_of * len(b_texts) + b_of, return_inverse=True)
-            a_of, b_of = np.divmod(pairs, len(b_texts))
-            a_len, b_len = (np.array([len(t) for t in texts]) for texts in (a_texts, b_texts))
-            longest = np.maximum(np.maximum(a_len[a_of], b_len[b_of]), 1)
-            order = np.argsort(longest, kind="stable")
-            scores, first = np.empty(len(pairs)), 0
-            while first < len(order):
-                # The longest text of a run comes last: take as many pairs as fit beside it.
-                fits = np.arange(1, len(order) - first + 1) * longest[order[first:]] <= CELLS
-                own = order[first:first + max(1, int(fits.argmin()) if not fits.all() else len(fits))]
-                used = [np.unique(side[own], return_inverse=True) for side in (a_of, b_of)]
-                (a, a_len_), (b, b_len_) = (
-                    matrix([texts[k] for k in at], pad) for texts, (at, _), pad in ((a_texts, used[0], -1), (b_texts, used[1], -2)))
-                (_, i), (_, j) = used
-                scores[own] = chunk(a[i], a_len_[i], b[j], b_len_[j])
-                first += len(own)
-            out[known] = scores[place]
+            out[known] = similarities(a_texts, b_texts, *np.divmod(pairs, len(b_texts)))[place]
         return pd.Series(out, index=left.index).astype("Float64")
 
     return F.pandas_udf(jaro_winkler, "double")

@@ -249,3 +249,70 @@ def test_rows_that_repeat_an_id_are_one_pair_of_ids(people):
     plain = sorted(map(repr, leads.lead_compare(leads.lead_blocks(left, right)).collect()))
     told = leads.lead_compare(leads.lead_blocks(leads.told_repeats(left), leads.told_repeats(right), ("repeats",)))
     assert sorted(map(repr, told.collect())) == plain and len(plain) == told.select("lead_id", "person_id").distinct().count()
+
+
+def odd_people(spark, people):
+    """Both sides with texts of all lengths and kinds, ids that repeat or are unknown, and rows that are there twice."""
+    rng = random.Random(8)
+    texts = ["", "é", "ab𝒳", "x" * 64, "x" * 65, "y" * 70 + "z", "anna@example.com", "nana@example.com", "xanna@example.com", "dixon", "dicksonx"]
+    out = []
+    for side in people:
+        drawn = F.get(F.array(*map(F.lit, texts)), F.pmod(F.xxhash64("person_id", F.lit(rng.random())), F.lit(len(texts))).cast("int"))
+        odd = side.withColumn("first_name", drawn).unionByName(side.filter("person_id LIKE '%1'")).unionByName(side.limit(3))
+        out.append(odd.withColumn("person_id", F.when(~F.col("person_id").endswith("7"), F.col("person_id"))))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(2_000, 128, 512), (5, 2, 3)])
+def test_bundles_give_the_same_levels_as_pairs(spark, people, monkeypatch, sizes):
+    """Whether pairs go to Python one by one or as tiles of texts, small ones in one go or tile by tile."""
+    from kinweave.functions import agreement
+
+    left, right = odd_people(spark, people)
+    plain = sorted(map(repr, leads.lead_compare(leads.lead_blocks(left, right)).collect()))
+    for name, size in zip(("TILE_PEOPLE", "BUNDLE_LEADS", "BUNDLE_PERSONS"), sizes):
+        monkeypatch.setattr(leads, name, size)
+    told = leads.told_repeats(left), leads.told_repeats(right)
+    for few, all_pairs in ((agreement.FEW_PAIRS, agreement.ALL_PAIRS), (1, 0)):
+        monkeypatch.setattr(agreement, "FEW_PAIRS", few)
+        monkeypatch.setattr(agreement, "ALL_PAIRS", all_pairs)
+        bundles = leads.lead_blocks(*told, ("repeats",), bundled=True, apart="repeats")
+        assert sorted(map(repr, leads.lead_compare(bundles).collect())) == plain
+
+
+def test_a_bundle_is_compared_once_and_its_pairs_are_not_moved(people):
+    """Of the two parts, pairs that may repeat and the others, each has one exchange-free path from the join, and one comparison."""
+    told = [leads.told_repeats(side) for side in people]
+    found = leads.lead_compare(leads.lead_blocks(*told, ("repeats",), bundled=True, apart="repeats"))
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ArrowEvalPython [") <= 2 and "Exchange" not in plan[:plan.index("ArrowEvalPython [")]
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3])
+def test_review_expands_classes_in_place_or_by_a_join(people, copies):
+    """Members of a class: one and two are named by it, more are joined; ids may be unknown or repeat."""
+    left, right = (side.crossJoin(side.sparkSession.range(copies)).withColumn("person_id", F.when(
+        (F.col("id") != 1) | ~F.col("person_id").endswith("3"), F.col("person_id"))).drop("id") for side in people)
+    sides = leads.lead_classes(left), leads.lead_classes(right)
+    assert copies < 3 or sides[0].classes.filter("many").count() > 0
+    scored = leads.lead_score(leads.class_pairs(*sides), WEIGHTS, 0.05)
+    want = leads.lead_review(*sides, scored.drop("lead_many"))
+    assert sorted(map(repr, leads.lead_review(*sides, scored).collect())) == sorted(map(repr, want.collect())) != []
+
+
+def test_scores_are_looked_up_by_pattern(spark):
+    """The sum over known levels as worked out pair by pair, unknown levels and none at all included, and rounded as asked."""
+    import math
+
+    rows = [(3, 2, 1, 0, -1), (3, 3, 3, 3, 3), (None, 3, None, 0, 2), (-1, -1, -1, -1, -1)]
+    compared = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in leads.level_columns()))
+    of = {(w.field, w.level): math.log2(w.m / w.u) for w in WEIGHTS}
+    for digits in (None, (6, 9)):
+        got = leads.lead_score(compared, WEIGHTS, 0.01, digits).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            weight = sum(of.get((f, r[f"{f}_level"]), 0.0) for f in leads.FIELDS)
+            odds = 0.01 * 2 ** weight
+            assert r["match_weight"] == pytest.approx(round(weight, 6) if digits else weight, rel=1e-12, abs=1e-12)
+            assert r["match_probability"] == pytest.approx(round(odds / (0.99 + odds), 9) if digits else odds / (0.99 + odds), rel=1e-12)
